@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import rlz, suffix_dedup
+from . import bpe, langid, rlz, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,13 +20,21 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op3_suffix_dedup)}
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op3_suffix_dedup, op7_bpe, op10_langid)}
 
 #: Words by explicit code points; a window is its words joined by one space.
 _OP1 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 win AS (SELECT rid, i, md5(array_to_string(w[i:i+34], ' ')) AS h FROM d, unnest(range(1, len(w) - 33)) AS t(i)),
 dup AS (SELECT rid, i FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)),
