@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, rlz, suffix_dedup
+from . import bpe, chat, langid, rlz, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,12 @@ def op1_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.report(_table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql("SELECT -1L AS conv_id, t AS turn, r AS role, s AS text FROM VALUES (0L, 'user', :said), (1L, 'assistant', :said) AS v(t, r, s)", args={"said": said})
+    return chat.report(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf_dir, "documents"))
 
@@ -28,7 +34,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op3_suffix_dedup, op7_bpe, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op7_bpe, op10_langid)}
 
 #: Words by explicit code points; a window is its words joined by one space.
 _OP1 = r"""
@@ -40,12 +46,32 @@ win AS (SELECT rid, i, md5(array_to_string(w[i:i+34], ' ')) AS h FROM d, unnest(
 dup AS (SELECT rid, i FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)),
 gone AS (SELECT DISTINCT rid, i + j AS p FROM dup, unnest(range(0, 35)) AS t(j)),
 cut AS (SELECT rid, list(p) AS ps FROM gone GROUP BY rid),
+pos AS (SELECT rid, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
 kept AS (
-  SELECT d.rid, string_agg(w[p], ' ' ORDER BY p) AS left_text FROM d, unnest(range(1, len(w) + 1)) AS t(p)
-  LEFT JOIN gone g ON g.rid = d.rid AND g.p = t.p WHERE g.p IS NULL GROUP BY d.rid)
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS left_text FROM pos
+  ANTI JOIN gone USING (rid, p) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
        sha256(coalesce(left_text, '')) AS kept_sha256
 FROM d LEFT JOIN cut USING (rid) LEFT JOIN kept USING (rid)
 """
 
-ORACLES = {"op1_rlz_dedup": _OP1}
+#: A control string grows by one sign, a backslash by one, a line end in a role by one.
+_OP2 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(x.text) + length(regexp_extract_all(x.text, '<\|(?:im_start|im_end|endoftext)\|>|</?s>|<</?SYS>>|\[/?INST\]|\\'))
+              AS text_chars,
+         length(x.role) + length(regexp_extract_all(x.role, '<\|(?:im_start|im_end|endoftext)\|>|</?s>|<</?SYS>>|\[/?INST\]|\\|\n'))
+              AS role_chars
+  FROM c x)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(12 + role_chars + 1 + text_chars + 11) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+ORACLES = {"op1_rlz_dedup": _OP1, "op2_chat_format": _OP2}
