@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, rlz, suffix_dedup
+from . import bpe, chat, langid, rlz, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
@@ -34,7 +38,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op7_bpe, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op6_warc_zip, op7_bpe, op10_langid)}
 
 #: Words by explicit code points; a window is its words joined by one space.
 _OP1 = r"""
@@ -74,4 +78,23 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLES = {"op1_rlz_dedup": _OP1, "op2_chat_format": _OP2}
+#: Base 32 of the 160 bits of a SHA-1: 32 digits of 5 bits each.
+_OP6 = r"""
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+b AS (
+  SELECT rid, string_agg(lpad(bin(instr('0123456789abcdef', substr(sha, i, 1)) - 1), 4, '0'), '' ORDER BY i) AS bits
+  FROM p, unnest(range(1, 41)) AS t(i) GROUP BY rid),
+d AS (
+  SELECT rid, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + 16 * CAST(substr(bits, 5 * k + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * k + 2, 1) AS INT)
+             + 4 * CAST(substr(bits, 5 * k + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * k + 4, 1) AS INT)
+             + CAST(substr(bits, 5 * k + 5, 1) AS INT), 1), '' ORDER BY k) AS digest
+  FROM b, unnest(range(0, 32)) AS t(k) GROUP BY rid),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS last FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM m JOIN d USING (rid)
+"""
+
+ORACLES = {"op6_warc_zip": _OP6, "op1_rlz_dedup": _OP1, "op2_chat_format": _OP2}
