@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, rlz, suffix_dedup, vector_dedup, warc
+from . import bpe, chat, langid, ngram_join, rlz, suffix_dedup, vector_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.report(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(_table(spark, sf_dir, "pages"))
 
@@ -42,7 +46,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op6_warc_zip, op7_bpe, op9_vector_dedup, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op4_ngram_join, op6_warc_zip, op7_bpe, op9_vector_dedup, op10_langid)}
 
 #: Words by explicit code points; a window is its words joined by one space.
 _OP1 = r"""
@@ -101,4 +105,37 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload
 FROM m JOIN d USING (rid)
 """
 
-ORACLES = {"op6_warc_zip": _OP6, "op1_rlz_dedup": _OP1, "op2_chat_format": _OP2}
+#: Brute force over all pairs that share a shingle.
+_OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT rid, md5_number(array_to_string(w[i:i+4], ' ')) AS h
+  FROM d, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 3, 2) END)) AS t(i)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT a.rid AS a, b.rid AS b, count(*) AS shared FROM s a JOIN s b ON a.h = b.h AND a.rid <> b.rid GROUP BY ALL),
+link AS (SELECT a, b FROM p JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE shared >= 0.8 * (x.n + y.n - shared)),
+reach AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+c AS (SELECT a, min(doc_id) AS class_id FROM reach JOIN d ON d.rid = reach.b GROUP BY a),
+k AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM d JOIN c ON c.a = d.rid LEFT JOIN k ON k.a = d.rid
+"""
+
+#: Brute force over all pairs.
+_OP9 = r"""
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+f AS (
+  SELECT * FROM e
+  WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND list_dot_product(x, x) > 0),
+link AS (
+  SELECT a.rid AS a, b.rid AS b FROM f a JOIN f b ON a.rid <> b.rid AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.9),
+reach AS (SELECT rid AS a, rid AS b FROM e UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+c AS (SELECT a, min(vec_id) AS component_id FROM reach JOIN e ON e.rid = reach.b GROUP BY a),
+k AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN c ON c.a = e.rid LEFT JOIN k ON k.a = e.rid
+"""
+
+ORACLES = {"op4_ngram_join": _OP4, "op9_vector_dedup": _OP9, "op6_warc_zip": _OP6, "op1_rlz_dedup": _OP1, "op2_chat_format": _OP2}
