@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, ngram_join, rlz, suffix_dedup, vector_dedup, warc
+from . import bpe, chat, decontaminate, langid, ngram_join, rlz, suffix_dedup, vector_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.report(_table(spark, sf_dir, "embeddings"))
 
@@ -46,7 +50,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op4_ngram_join, op6_warc_zip, op7_bpe, op9_vector_dedup, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op4_ngram_join, op6_warc_zip, op7_bpe, op8_decontaminate, op9_vector_dedup, op10_langid)}
 
 #: Words by explicit code points; a window is its words joined by one space.
 _OP1 = r"""
