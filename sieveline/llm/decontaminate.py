@@ -5,7 +5,7 @@ A seed is a fixed mask laid over consecutive words; only the positions marked 1
 position minus item position) with a hit is verified word by word: the overlap is the longest stretch, over the whole item,
 in which at least `similarity` of the words agree; it counts from `min_words` words on (or the whole of a shorter item).
 
-Words are runs of letters, digits and non-ASCII signs, ASCII lower-cased, so punctuation and case don't hide a passage.
+Words are runs of letters, digits and non-ASCII signs, lower-cased, so punctuation and case don't hide a passage.
 
 The seeds of the test items are sent to every task where their texts have at most `BROADCAST_CHARS` signs (counted first);
 then a document meets all items in its own task and nothing is shuffled. Larger benchmarks take the other way: seeds of
@@ -205,12 +205,13 @@ def _checked(similarity: float, min_words: int):
 
 def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
     """doc_id, item_id, doc_start, item_start, n_words, n_same (in words) for every document that holds an item."""
-    items = items.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL")
+    items = items.select(F.col("item_id").cast("long"), F.lower("text").alias("text")).where("text IS NOT NULL")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     if total <= broadcast_chars:
         got = sorted(((r[0], r[1]) for r in items.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         ids, texts = tuple(r[0] for r in got), tuple(r[1] for r in got)
-        return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_searched(ids, texts, similarity, min_words), MATCH_SCHEMA)
+        return docs.mapInArrow(_searched(ids, texts, similarity, min_words), MATCH_SCHEMA)
     work = Work(docs.sparkSession, "seeds")
     masks = tuple(_masks(np.arange(LEAST, min(map(len, MASKS)))))
     i = items.withColumns({"i1": F.coalesce("item_id", F.lit(-(2**63))), "i2": F.xxhash64("text")})
