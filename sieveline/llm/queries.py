@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, langid, ngram_join, rlz, suffix_dedup, vector_dedup, warc
+from . import bpe, chat, decontaminate, langid, lm, ngram_join, rlz, suffix_dedup, vector_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(_table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.report(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(_table(spark, sf_dir, "pages"))
 
@@ -50,7 +54,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op4_ngram_join, op6_warc_zip, op7_bpe, op8_decontaminate, op9_vector_dedup, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op4_ngram_join, op5_lm_scores, op6_warc_zip, op7_bpe, op8_decontaminate, op9_vector_dedup, op10_langid)}
 
 #: Words by explicit code points; a window is its words joined by one space.
 _OP1 = r"""
