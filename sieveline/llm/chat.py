@@ -57,9 +57,11 @@ def paths(nodes: DataFrame, work: Work, top: int = 1) -> DataFrame:
         if last.where("hop IS NOT NULL").isEmpty():
             break
         up = last.select("tree", F.col("node").alias("hop"), F.col("hop").alias("far"), F.col("dist").alias("d2"), F.col("total").alias("t2"))
-        nxt = last.join(up, ["tree", "hop"], "left").select(
+        # only messages that aren't at their root yet take part; the others are done
+        further = last.where("hop IS NOT NULL").join(up, ["tree", "hop"], "left").select(
             "tree", "node", F.col("far").alias("hop"), (F.col("dist") + F.coalesce("d2", F.lit(0))).alias("dist"), (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total")
         )
+        nxt = last.where("hop IS NULL").unionByName(further)
         jumps.append(work.keep(nxt, f"jump{k + 1}"))
     rooted = jumps[-1].where("hop IS NULL").withColumn("score", F.col("total") / F.col("dist"))
     parents = nodes.where("parent IS NOT NULL").select("tree", F.col("parent").alias("node"))
