@@ -142,7 +142,7 @@ def _predict(model: Model | None):
         for batch in batches:
             n = len(batch)
             pred, score = np.full(n, UND, object), np.zeros(n)
-            data, offs = raw(batch.column("text"))
+            data, offs = raw(batch.column(batch.num_columns - 1))
             if model is not None:
                 lut, marks = model.prepared()
                 for lo, hi in groups(offs):
@@ -170,7 +170,7 @@ def _predict(model: Model | None):
 
 def predict(docs: DataFrame, model: Model | None, *carry: str) -> DataFrame:
     """Columns named in carry, lang_pred and score, from column text alone."""
-    d = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string"))
+    d = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields[:-1])
     return d.mapInArrow(_predict(model), f"{fields}{', ' if fields else ''}lang_pred string, score double")
 
