@@ -54,11 +54,32 @@ def _projections(dim: int, k: int, tables: int) -> tuple[np.ndarray, np.ndarray,
     return a, rng.uniform(0, WIDTH, tables * k), rng.integers(1, 2**62, tables * k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def keys(unit: np.ndarray, k: int, tables: int) -> np.ndarray:
-    """A key for every vector and table."""
-    a, b, salt = _projections(unit.shape[1], k, tables)
+def keys(unit: np.ndarray, k: int, tables: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """A key for every vector and table from lo to hi."""
+    hi = tables if hi is None else hi
+    a, b, salt = (x[lo * k : hi * k] for x in _projections(unit.shape[1], k, tables))
     h = np.floor((unit @ a.T + b) / WIDTH).astype(np.int64).view(np.uint64)
-    return mix((h * salt).reshape(len(unit), tables, k).sum(2, dtype=np.uint64) + np.arange(1, tables + 1, dtype=np.uint64) * np.uint64(unit.shape[1]))
+    return mix((h * salt).reshape(len(unit), hi - lo, k).sum(2, dtype=np.uint64) + np.arange(lo + 1, hi + 1, dtype=np.uint64) * np.uint64(unit.shape[1]))
+
+
+def first_meetings(unit: np.ndarray, i: np.ndarray, j: np.ndarray, t: np.ndarray, k: int, tables: int) -> np.ndarray:
+    """Which pairs (i, j), found in table t, share no earlier table. Tables are hashed a few at a time, and only for pairs
+    that are still undecided: near pairs meet early, so most drop out at once."""
+    first = np.ones(len(i), bool)
+    open_ = np.arange(len(i))
+    for lo in range(0, tables, 8):
+        open_ = open_[t[open_] > lo]
+        if not len(open_):
+            break
+        hi = min(lo + 8, tables)
+        for at in range(0, len(open_), 1 << 15):
+            part = open_[at : at + (1 << 15)]
+            used, inverse = np.unique(np.concatenate([i[part], j[part]]), return_inverse=True)
+            key = keys(unit[used], k, tables, lo, hi)
+            same = (key[inverse[: len(part)]] == key[inverse[len(part) :]]) & (np.arange(lo, hi) < t[part][:, None])
+            first[part[same.any(1)]] = False
+        open_ = open_[first[open_]]
+    return first
 
 
 def _units(col: pa.ListArray) -> np.ndarray:
@@ -118,14 +139,9 @@ def _compared(k: int, tables: int, cosine: float):
                 used, inverse = np.unique(np.concatenate([i, j]), return_inverse=True)
                 links = np.zeros(len(used), np.int64)
                 ui, uj = inverse[: len(i)], inverse[len(i) :]
-                for a in range(0, len(i), 8192):  # a pair counts only in the first table in which it meets
-                    part = slice(a, a + 8192)
-                    both = np.unique(np.concatenate([ui[part], uj[part]]))
-                    key = keys(unit[used[both]], k, tables)
-                    same = key[np.searchsorted(both, ui[part])] == key[np.searchsorted(both, uj[part])]
-                    now = same.argmax(1) == t[gi[part]]
-                    np.add.at(links, ui[part][now], mult[gj[part]][now])
-                    np.add.at(links, uj[part][now], mult[gi[part]][now])
+                now = first_meetings(unit, i, j, t[gi], k, tables)  # a pair counts once, in the first table in which it meets
+                np.add.at(links, ui[now], mult[gj[now]])
+                np.add.at(links, uj[now], mult[gi[now]])
                 root = local_roots(len(used), ui, uj)
                 out_n.append(node[rows[used]])
                 out_r.append(node[rows[used[root]]])
