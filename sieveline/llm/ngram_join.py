@@ -204,7 +204,7 @@ def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: f
     size = runs * DEPTH
     d = keyed(docs, "doc_id", "text")
     every = work.keep(d.mapInArrow(_sketched(k, size), "k1 long, k2 long, doc_id long, n int, node long, mins array<int>"), "sketches")
-    nodes = every.where("n > 0").groupBy("node").agg(F.count("*").alias("mult"), F.min(F.struct("k1", "k2")).alias("rep"), F.min("doc_id").alias("least"), F.first("mins").alias("mins"))
+    nodes = every.where("n > 0").groupBy("node").agg(F.count("*").alias("mult"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "k1", "k2")).alias("rep"), F.min("doc_id").alias("least"), F.first("mins").alias("mins"))
     nodes = work.keep(nodes, "nodes")
 
     # paths: split by a sampled token, and buckets that are still large by the next one
@@ -249,7 +249,7 @@ def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: f
     of = of.select("node", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("comp", "node").alias("comp"), "least", "rep")
     # the least id stands for a class; of null ids alone, the least key
     top = of.groupBy("comp").agg(F.min("least").alias("class_id"), F.min(F.struct(F.coalesce("least", F.lit(2**63 - 1)).alias("least"), "rep")).alias("f"))
-    of = of.join(top.select("comp", "class_id", F.col("f.rep").alias("first")), "comp").select("node", "n_links", "class_id", "first")
+    of = of.join(top.select("comp", "class_id", F.struct("f.rep.k1", "f.rep.k2").alias("first")), "comp").select("node", "n_links", "class_id", "first")
     of = work.keep(of, "classes")
     out = every.where("n > 0").select("k1", "k2", "doc_id", "node").join(of, "node").drop("node")
     alone = every.where("n = 0").select("k1", "k2", "doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"), F.struct("k1", "k2").alias("first"))
