@@ -211,12 +211,13 @@ def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: f
     steps = [F.col("mins")[F.col("r") * DEPTH + i].alias(f"m{i}") for i in range(DEPTH)]
     open_ = nodes.select("node", "mins", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("r")).select("node", "r", *steps)
     open_ = open_.withColumn("leaf", F.xxhash64("r", "m0"))
-    leaves = None
+    leaves, levels = None, []
     for i in range(DEPTH):
         m = open_.groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1")
         met = open_.join(m, "leaf")
         last = i == DEPTH - 1
         met = work.keep(met, f"level{i}")
+        levels.append(met)
         ends = (met if last else met.where(F.col("m") <= SPLIT)).select("node", "r", "leaf", "m")
         leaves = ends if leaves is None else leaves.unionByName(ends)
         if not last:
@@ -230,7 +231,7 @@ def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: f
     grouped = work.keep(grouped, "groups")
     same = grouped.groupBy("task").agg(F.count("*").alias("m"), F.sum(F.xxhash64("node", "side").cast("decimal(20,0)")).alias("sig"), F.min("r").alias("r"))
     chosen = same.groupBy("m", "sig").agg(F.min(F.struct("r", "task")).alias("t")).select("t.task")
-    grouped = work.keep(grouped.join(chosen, "task"), "chosen")
+    parted, grouped = grouped, work.keep(grouped.join(chosen, "task"), "chosen")
 
     # whole sets of what is left
     path = leaves.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("r", "leaf"))).alias("at"))
@@ -251,6 +252,7 @@ def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: f
     top = of.groupBy("comp").agg(F.min("least").alias("class_id"), F.min(F.struct(F.coalesce("least", F.lit(2**63 - 1)).alias("least"), "rep")).alias("f"))
     of = of.join(top.select("comp", "class_id", F.struct("f.rep.k1", "f.rep.k2").alias("first")), "comp").select("node", "n_links", "class_id", "first")
     of = work.keep(of, "classes")
+    work.drop(*levels, parted, grouped, wanted, sets, found, nodes)
     out = every.where("n > 0").select("k1", "k2", "doc_id", "node").join(of, "node").drop("node")
     alone = every.where("n = 0").select("k1", "k2", "doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("class_id"), F.struct("k1", "k2").alias("first"))
     return out.unionByName(alone)

@@ -176,6 +176,7 @@ def report(embeddings: DataFrame, cosine: float = COSINE, recall: float = RECALL
     of = of.select("node", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("comp", "node").alias("comp"), "least")
     top = of.groupBy("comp").agg(F.min("least").alias("component"))
     of = work.keep(of.join(top, "comp").select("node", "n_links", "component"), "classes")
+    work.drop(nodes, hashed, found)
     out = e.select("vec_id", "node").join(of, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
