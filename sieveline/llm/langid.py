@@ -137,7 +137,7 @@ def fit(train: DataFrame) -> Model | None:
     return Model(langs, vocab, bits, (root @ w).astype(np.float32), (ym - zm @ w).astype(np.float32))
 
 
-def _predict(model: Model | None):
+def _predict(model: Model | None, names: tuple[str, str]):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = len(batch)
@@ -162,17 +162,17 @@ def _predict(model: Model | None):
                     score[lo:hi][plain] = np.clip(0.5 + (top - second)[plain].astype(float) / 4, 0, 1)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in range(batch.num_columns - 1)), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"],
+                names=[*batch.schema.names[:-1], *names],
             )
 
     return f
 
 
-def predict(docs: DataFrame, model: Model | None, *carry: str) -> DataFrame:
-    """Columns named in carry, lang_pred and score, from column text alone."""
+def predict(docs: DataFrame, model: Model | None, *carry: str, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns named in carry, the language and its score under `names`, from column text alone."""
     d = docs.select(*[F.col(f"`{c}`") for c in carry], F.col("text").cast("string").alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields[:-1])
-    return d.mapInArrow(_predict(model), f"{fields}{', ' if fields else ''}lang_pred string, score double")
+    return d.mapInArrow(_predict(model, names), f"{fields}{', ' if fields else ''}`{names[0]}` string, `{names[1]}` double")
 
 
 def remainder(modulus: int):
@@ -190,4 +190,5 @@ def report(docs: DataFrame) -> DataFrame:
 def identified(docs: DataFrame) -> DataFrame:
     """docs without those in no language (null or letterless text); a null lang takes the prediction."""
     model = fit(docs.select("doc_id", "text", "lang"))
-    return predict(docs, model, *docs.columns).where(F.col("lang_pred") != UND).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*[f"`{c}`" for c in docs.columns])
+    out = predict(docs, model, *docs.columns, names=("__lang_pred", "__score")).where(F.col("__lang_pred") != UND)
+    return out.withColumn("lang", F.coalesce("lang", "__lang_pred")).select(*[f"`{c}`" for c in docs.columns])

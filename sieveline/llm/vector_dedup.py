@@ -156,10 +156,11 @@ def report(embeddings: DataFrame, cosine: float = COSINE, recall: float = RECALL
     """vec_id, n_links (other vectors linked directly), component_id (smallest vec_id reachable), kept."""
     spark = embeddings.sparkSession
     work = Work(spark, "vectors")
-    e = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>").alias("vec"))
+    kind = "double" if embeddings.schema["embedding"].dataType.simpleString() == "array<double>" else "float"
+    e = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{kind}>").alias("vec"))
     fine = F.coalesce(F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     length = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    plain = F.transform("vec", lambda x: x + F.lit(0.0).cast("float"))  # -0 is 0
+    plain = F.transform("vec", lambda x: x + F.lit(0.0).cast(kind))  # -0 is 0
     e = e.withColumn("vec", F.when(fine & (length > 0), plain)).withColumn("node", F.when(F.col("vec").isNotNull(), F.xxhash64("vec")))
     nodes = work.keep(e.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("mult"), F.first("vec").alias("vec"), F.min("vec_id").alias("least")), "nodes")
     k, tables = parameters(nodes.count(), cosine, recall)
