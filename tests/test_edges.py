@@ -188,3 +188,14 @@ def test_entry_without_the_llm_subpackage():
 
     assert "flagship_need" in e.queries() and set(e.oracle_sql()) <= set(e.queries())
     json.dumps(sorted(e.queries()))
+
+
+def test_stream_keeps_one_row_a_key(spark, tmp_path):
+    from sieveline.streaming import jobs
+
+    rows = [("a b", "2024-01-01 00:00:00"), ("A  b", "2024-01-01 00:01:00"), ("c", "2024-01-01 00:02:00")]
+    spark.createDataFrame(rows, "t string, ts string").select("t", F.to_timestamp("ts").alias("ts")).write.parquet(f"file://{tmp_path}/log")
+    log = jobs.read_log(spark, f"file://{tmp_path}/log", "t string, ts timestamp")
+    out = jobs.distinct_stream(log, "t", "ts", "1 hour").writeStream.format("memory").queryName("once").trigger(availableNow=True).start()
+    out.awaitTermination()
+    assert sorted(tx for (tx,) in spark.sql("SELECT lower(replace(t, '  ', ' ')) FROM once").collect()) == ["a b", "c"]
