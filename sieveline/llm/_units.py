@@ -84,11 +84,11 @@ def raw(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return d[o[0] : o[-1]], o - o[0]
 
 
-def groups(offs: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about `limit` bytes together; a longer row stands alone."""
+def groups(offs: np.ndarray, limit: int = PIECE, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about `limit` bytes together, at most `rows` of them; a longer row stands alone."""
     lo, n = 0, len(offs) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
+        hi = min(lo + rows, max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1))
         yield lo, min(hi, n)
         lo = min(hi, n)
 

@@ -30,6 +30,8 @@ from ._units import PIECE, groups, raw
 
 SAMPLE_ROWS, SAMPLE_CHARS, MAX_LANGS = 2400, 20_000, 400
 FEATURES, LANDMARKS, RIDGE = 6144, 128, 1e-3
+#: Rows a piece: a row of presences takes FEATURES numbers, however short its text.
+ROWS = 256
 UND = "und"
 
 _CLASS = np.arange(256, dtype=np.uint8)
@@ -112,7 +114,7 @@ def fit(train: DataFrame) -> Model | None:
     lang = np.array([langs.index(r["lang"]) for r in rows])
     lut = np.zeros((1 << 25) + 256, np.int16)
     lut[vocab] = np.arange(1, len(vocab) + 1)
-    p = np.concatenate([presences(body[offs[a] : offs[b]], offs[a : b + 1] - offs[a], lut, len(vocab)).astype(bool) for a, b in groups(offs)])
+    p = np.concatenate([presences(body[offs[a] : offs[b]], offs[a : b + 1] - offs[a], lut, len(vocab)).astype(bool) for a, b in groups(offs, rows=ROWS)])
     # landmarks in turn from each language, by lot
     turn = np.zeros(len(rows), np.int64)
     for k in range(len(langs)):
@@ -145,7 +147,7 @@ def _predict(model: Model | None, names: tuple[str, str]):
             data, offs = raw(batch.column(batch.num_columns - 1))
             if model is not None:
                 lut, marks = model.prepared()
-                for lo, hi in groups(offs):
+                for lo, hi in groups(offs, rows=ROWS):
                     part, o = data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
                     letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[part])])
                     plain = letters[o[1:]] > letters[o[:-1]]
