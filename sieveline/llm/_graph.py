@@ -1,8 +1,9 @@
-"""Connected components by label propagation with pointer jumping, and contiguous groups of sorted Arrow batches."""
+"""Connected components by hooking and pointer jumping, and contiguous groups of sorted Arrow batches."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,10 @@ from ._spark import Work
 def components(edges: DataFrame, work: Work) -> DataFrame:
     """(node, comp) for every node of edges(a, b): comp is the smallest node that can be reached.
 
-    Each round takes the least label among neighbours, then the label's own label, so that even a long chain needs about
-    log(length) rounds. A round is two joins and an aggregation with map-side combining, and is written before the next."""
+    A round hears the least second label (the label's own label) among a node's neighbours, and lowers to it both the node's
+    label and the label of that label, so that whole trees hook onto smaller ones; then labels jump to their own labels
+    (FastSV). Rounds go on until no label changes: labels only fall and are nodes of their component, so this ends, and at
+    the end neighbours agree. A round is two joins and two aggregations with map-side combining, and is written before the next."""
     e = edges.where("a <> b").select("a", "b")
     e = work.keep(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = work.keep(e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("comp")), "labels0")
@@ -25,11 +28,13 @@ def components(edges: DataFrame, work: Work) -> DataFrame:
         return of.agg(F.sum(F.col("comp").cast("decimal(38,0)"))).first()[0]
 
     before = total(labels)
-    for k in range(1, 200):
-        heard = e.join(labels.select(F.col("node").alias("b"), "comp"), "b").select(F.col("a").alias("node"), "comp")
-        least = labels.unionByName(heard).groupBy("node").agg(F.min("comp").alias("comp"))
+    for k in count(1):
         up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
-        new = least.join(up, "comp", "left").select("node", F.least("comp", F.coalesce("top", "comp")).alias("comp"))
+        second = labels.join(up, "comp").select("node", "comp", "top")
+        heard = e.join(second.select(F.col("node").alias("b"), "top"), "b").select(F.col("a").alias("node"), F.lit(None).cast("long").alias("comp"), "top")
+        least = second.unionByName(heard).groupBy("node").agg(F.max("comp").alias("comp"), F.min("top").alias("top"))  # one row has comp
+        lowered = least.select(F.explode(F.array(F.struct("node", F.col("top").alias("comp")), F.struct(F.col("comp").alias("node"), F.col("top").alias("comp")))).alias("x")).select("x.*")
+        new = lowered.groupBy("node").agg(F.min("comp").alias("comp"))
         kept = work.keep(new, f"labels{k}")
         now = total(kept)  # labels only ever fall, so an equal sum means that none has changed
         work.drop(labels)

@@ -17,7 +17,8 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, chat, decontaminate, langid, lm, ngram_join, rlz, suffix_dedup, vector_dedup, warc
+from sieveline.llm import _graph, bpe, chat, decontaminate, langid, lm, ngram_join, rlz, suffix_dedup, vector_dedup, warc
+from sieveline.llm._spark import Work
 
 DOC = "doc_id long, text string"
 
@@ -129,6 +130,19 @@ def test_op4_large_buckets_are_cut_into_blocks(spark, monkeypatch):
     assert {(r["class_id"], r["n_links"]) for r in got} == {(0, 119)}
 
 
+def test_components_of_long_paths(spark):
+    """Paths of 4,000 and 3 nodes with shuffled ids, a star and a loop: one label each, in few rounds."""
+    r = random.Random(8)
+    ids = [r.randrange(-(2**63), 2**63) for _ in range(4103)]
+    path, short, star = ids[:4000], ids[4000:4003], ids[4003:]
+    pairs = [*itertools.pairwise(path), *itertools.pairwise(short), *((star[0], x) for x in star[1:]), (path[5], path[5])]
+    r.shuffle(pairs)
+    work = Work(spark, "paths")
+    got = {x["node"]: x["comp"] for x in _graph.components(spark.createDataFrame(pairs, "a long, b long"), work).collect()}
+    assert got == {x: min(p) for p in (path, short, star) for x in p}
+    assert work.n < 30
+
+
 def vector_rows(seed=0):
     g = np.random.default_rng(seed)
     base = g.standard_normal((60, 16))
