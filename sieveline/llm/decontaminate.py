@@ -5,7 +5,11 @@ A seed is a fixed mask laid over consecutive words; only the positions marked 1
 position minus item position) with a hit is verified word by word: the overlap is the longest stretch, over the whole item,
 in which at least `similarity` of the words agree; it counts from `min_words` words on (or the whole of a shorter item).
 
-Words are runs of letters, digits and non-ASCII signs, lower-cased, so punctuation and case don't hide a passage.
+Words are runs of letters, digits and non-ASCII symbols, lower-cased, so punctuation (ASCII or not) and case don't hide a
+passage. A letter or mark of a script without spaces (Han, kana, Thai, Lao, Khmer, Burmese and others) is a word of its own.
+
+Items under 12 words count only as a whole, with as many substitutions s as the similarity admits. They get seeds of their
+own: cut into s + 2 blocks, at least two blocks are untouched, so that the masks of all pairs of blocks miss nothing.
 
 The seeds of the test items are sent to every task where their texts have at most `BROADCAST_CHARS` signs (counted first);
 then a document meets all items in its own task and nothing is shuffled. Larger benchmarks take the other way: seeds of
@@ -19,8 +23,10 @@ columns are ignored by `matches` and kept by `clean`.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +48,39 @@ _COEF = np.random.default_rng(99).integers(1, 2**63, 64, dtype=np.uint64) * np.u
 MATCH_SCHEMA = "doc_id long, item_id long, doc_start long, item_start long, n_words long, n_same long"
 
 
+#: Blocks whose letters are written without spaces: Thai and Lao, Burmese, Khmer, Tai scripts, Han, kana.
+_UNSPACED = (
+    (0xE00, 0xF00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x19E0), (0x1A20, 0x1AB0), (0x2E80, 0x2FE0), (0x3005, 0x3008), (0x3021, 0x3100), (0x31F0, 0x3200),
+    (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xA9E0, 0xAA00), (0xAA60, 0xAAE0), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1AFF0, 0x1B170), (0x20000, 0x32400),
+)
+
+
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """By code point: 1 for punctuation and spaces, 2 for what is a word of its own, else 0; ASCII is left to _PLAIN."""
+    kind = np.zeros(0x110000, np.uint8)
+    for lo, hi in _UNSPACED:
+        kind[[c for c in range(lo, hi) if unicodedata.category(chr(c)) in ("Lo", "Lm", "Mn", "Mc", "Nl")]] = 2
+    kind[[c for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PZ" or c == 0x85]] = 1
+    return kind
+
+
 def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return words(_PLAIN[data], offs)
+    plain = _PLAIN[data]
+    p = np.flatnonzero(data >= 0xC0)
+    if len(p):
+        n = 2 + (data[p] >= 0xE0) + (data[p] >= 0xF0)
+        point = data[p].astype(np.int64) & np.array([0x1F, 0xF, 7])[n - 2]
+        for j in (1, 2, 3):
+            point = np.where(n > j, point << 6 | data[np.minimum(p + j, len(data) - 1)] & 0x3F, point)
+        kind = _kinds()[point]
+        for j in range(4):
+            plain[p[(kind == 1) & (n > j)] + j] = 32
+        own = kind == 2
+        if own.any():
+            gaps = np.unique(np.concatenate([p[own], p[own] + n[own]]))
+            plain, offs = np.insert(plain, gaps, 32), offs + np.searchsorted(gaps, offs)
+    return words(plain, offs)
 
 
 def seeds(values: np.ndarray, mask: str) -> np.ndarray:
@@ -58,26 +95,34 @@ def seeds(values: np.ndarray, mask: str) -> np.ndarray:
     return mix(h)
 
 
-def _masks(lengths: np.ndarray) -> list[str]:
-    """The fixed masks, and for items too short for them one of their whole length."""
-    short = min(map(len, MASKS))
-    return [*MASKS, *("1" * int(n) for n in np.unique(lengths) if LEAST <= n < short)]
+def _masks(lengths: np.ndarray, similarity: float) -> list[tuple[str, bool]]:
+    """The fixed masks, and (True) those that cover the whole of an item of their own length, for items of under MIN_WORDS."""
+    out = [(m, False) for m in MASKS]
+    for n in np.unique(lengths).tolist():
+        if LEAST <= n < MIN_WORDS:
+            blocks = min(n, int((1 - similarity) * n + 1e-9) + 2)
+            of = np.arange(n) * blocks // n
+            out += [("".join("01"[int(k in pair)] for k in of), True) for pair in combinations(range(blocks), min(2, blocks))]
+    return out
 
 
 class Items:
     """Test items with their seeds, sorted by hash behind a bitmap that most lookups end at."""
 
-    def __init__(self, ids: list[int | None], texts: list[str | None]):
+    def __init__(self, ids: list[int | None], texts: list[str | None], similarity: float = SIMILARITY):
         data, offs = raw(pa.array(texts, pa.string()))
         self.values, self.first = tokens(data, offs)
         self.ids = ids
         lens = np.diff(self.first)
-        self.masks = _masks(lens)
+        masks = _masks(lens, similarity)
+        self.masks = [m for m, _ in masks]
         h, item, at = [], [], []
-        for mask in self.masks:
+        for mask, whole in masks:
             s = seeds(self.values, mask)
             row = np.searchsorted(self.first, np.arange(len(s)), "right") - 1
-            ok = (np.arange(len(s)) + len(mask) <= self.first[row + 1]) & ((len(mask) >= min(map(len, MASKS))) | (lens[row] == len(mask)))
+            ok = np.arange(len(s)) + len(mask) <= self.first[row + 1]
+            if whole:
+                ok &= lens[row] == len(mask)
             h.append(s[ok])
             item.append(row[ok])
             at.append(np.flatnonzero(ok) - self.first[row[ok]])
@@ -138,13 +183,13 @@ def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, similarity: float,
 
 
 @lru_cache(2)
-def _items(ids: tuple, texts: tuple) -> Items:
-    return Items(list(ids), list(texts))
+def _items(ids: tuple, texts: tuple, similarity: float) -> Items:
+    return Items(list(ids), list(texts), similarity)
 
 
 def _searched(ids: tuple, texts: tuple, similarity: float, min_words: int):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _items(ids, texts)
+        items = _items(ids, texts, similarity)
         for batch in batches:
             data, offs = raw(batch.column("text"))
             doc_id = batch.column("doc_id").to_pylist()
@@ -167,19 +212,28 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=[x.split()[0] for x in MATCH_SCHEMA.split(", ")])
 
 
-def _seeded(masks: tuple[str, ...], key: tuple[str, ...], whole: bool):
-    """Rows (key, at, hash) of all seeds; whole: a mask without zeros only over rows of its own length."""
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The numbers of words under MIN_WORDS that occur in a batch."""
+    for batch in batches:
+        data, offs = raw(batch.column("text"))
+        for lo, hi in groups(offs):
+            n = np.unique(np.diff(tokens(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])[1]))
+            yield pa.RecordBatch.from_arrays([pa.array(n[n < MIN_WORDS], pa.int64())], names=["n"])
+
+
+def _seeded(masks: tuple[tuple[str, bool], ...], key: tuple[str, ...], of_items: bool):
+    """Rows (key, at, hash) of all seeds; of_items: masks of a whole item only over rows of their own length."""
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = raw(batch.column("text"))
             for lo, hi in groups(offs):
                 values, first = tokens(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
-                for mask in masks:
+                for mask, whole in masks:
                     s = seeds(values, mask)
                     row = np.searchsorted(first, np.arange(len(s)), "right") - 1
                     ok = np.arange(len(s)) + len(mask) <= first[row + 1]
-                    if whole and "0" not in mask:
+                    if whole and of_items:
                         ok &= np.diff(first)[row] == len(mask)
                     row = row[ok]
                     cols = [batch.column(c).take(pa.array(lo + row)) for c in key]
@@ -213,7 +267,8 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, m
         ids, texts = tuple(r[0] for r in got), tuple(r[1] for r in got)
         return docs.mapInArrow(_searched(ids, texts, similarity, min_words), MATCH_SCHEMA)
     work = Work(docs.sparkSession, "seeds")
-    masks = tuple(_masks(np.arange(LEAST, min(map(len, MASKS)))))
+    short = [r[0] for r in items.select("text").mapInArrow(_lengths, "n long").distinct().collect()]
+    masks = tuple(_masks(np.array(short, np.int64), similarity))
     i = items.withColumns({"i1": F.coalesce("item_id", F.lit(-(2**63))), "i2": F.xxhash64("text")})
     d = keyed(docs, "doc_id", "text")
     of_items = work.keep(i.mapInArrow(_seeded(masks, ("i1", "i2"), True), "i1 long, i2 long, at long, hash long"), "items")

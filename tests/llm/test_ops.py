@@ -305,6 +305,21 @@ def test_op8_spans(spark):
     assert clean.columns == df.columns and sorted(x["doc_id"] for x in clean.collect()) == [4, 5, 6, 7, 10, 11]
 
 
+def test_op8_short_items_punctuation_and_unspaced_scripts(spark):
+    items, rows = [], []
+    for n in range(5, 12):  # every substitution that similarity 0.8 admits, and one too many
+        w = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(w)))
+        for k in (n // 5, n // 5 + 1):
+            rows += [(k * 100 + n, "before " + " ".join("other" if i in gone else x for i, x in enumerate(w)) + " after") for gone in itertools.combinations(range(n), k)]
+    items += [(20, "机器学习模型的训练数据不应包含测试题目"), (21, "この問題は学習データに含まれてはならない"), (22, "ข้อมูลทดสอบต้องไม่อยู่ในชุดฝึก"), (23, "one two three four five six"), (24, "你好世界")]
+    rows += [(1020, "他说：“机器学习模型的训练数据不应包含考试题目。”然后"), (1021, "「この問題は学習データに含まれてはならない」と。"), (1022, "ก" + items[-3][1] + "ข abc"), (1023, "«one two—three “four” five…six»"), (2024, "你好世界")]
+    df, it = spark.createDataFrame(rows, DOC), spark.createDataFrame(items, "item_id long, text string")
+    want = collections.Counter((d, d % 100) for d, _ in rows if d >= 1000 and d < 2000 or d < 1000 and d // 100 == d % 100 // 5)
+    for limit in (decontaminate.BROADCAST_CHARS, 0):
+        assert collections.Counter((x["doc_id"], x["item_id"]) for x in decontaminate.matches(df, it, broadcast_chars=limit).collect()) == want
+
+
 def test_op8_overlap_is_the_longest():
     r = random.Random(0)
     for _ in range(300):
