@@ -16,8 +16,8 @@ then a document meets all items in its own task and nothing is shuffled. Larger
 both sides are joined by hash, hits are made distinct by diagonal, and texts are joined to them for the same verification.
 
 Defined results: null and empty texts and items match nothing; items under `LEAST` words are ignored; one row for each
-document and item, with the longest overlap (the first on ties); repeated documents give repeated rows in the first way
-and one row in the second unless they differ in id; null ids are carried; an empty table gives an empty result; other
+row of docs and row of items, with the longest overlap (the first on ties), so that repeated rows of either give repeated
+rows in both ways; null ids are carried; an empty table gives an empty result; other
 columns are ignored by `matches` and kept by `clean`.
 """
 
@@ -275,7 +275,8 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, m
     of_docs = d.mapInArrow(_seeded(masks, ("k1", "k2"), False), "k1 long, k2 long, at long, hash long")
     hits = of_docs.join(of_items.withColumnRenamed("at", "q"), "hash").groupBy("k1", "k2", "i1", "i2").agg(F.collect_set(F.col("at") - F.col("q")).alias("diagonals"))
     hits = work.keep(hits, "hits")
-    full = hits.join(i.select("i1", "i2", "item_id", F.col("text").alias("item")).dropDuplicates(["i1", "i2"]), ["i1", "i2"]).join(d.dropDuplicates(["k1", "k2"]), ["k1", "k2"])
+    # hits are distinct by key; the joins bring back every row of either side, repeated ones too
+    full = hits.join(i.select("i1", "i2", "item_id", F.col("text").alias("item")), ["i1", "i2"]).join(d, ["k1", "k2"])
     return full.select("doc_id", "item_id", "text", "item", "diagonals").mapInArrow(_checked(similarity, min_words), MATCH_SCHEMA)
 
 

@@ -320,6 +320,15 @@ def test_op8_short_items_punctuation_and_unspaced_scripts(spark):
         assert collections.Counter((x["doc_id"], x["item_id"]) for x in decontaminate.matches(df, it, broadcast_chars=limit).collect()) == want
 
 
+def test_op8_repeated_rows_in_both_ways(spark):
+    t, u = (" ".join(f"{c}{i}" for i in range(15)) for c in "ab")
+    df = spark.createDataFrame([(1, t), (1, t), (1, t), (2, f"x {t} {u}"), (None, u), (None, u)], DOC)
+    it = spark.createDataFrame([(7, t), (7, t), (8, t), (None, u), (None, u)], "item_id long, text string")
+    want = collections.Counter({(1, 7): 6, (1, 8): 3, (2, 7): 2, (2, 8): 1, (2, None): 2, (None, None): 4})
+    for limit in (decontaminate.BROADCAST_CHARS, 0):
+        assert collections.Counter((x["doc_id"], x["item_id"]) for x in decontaminate.matches(df, it, broadcast_chars=limit).collect()) == want
+
+
 def test_op8_overlap_is_the_longest():
     r = random.Random(0)
     for _ in range(300):
