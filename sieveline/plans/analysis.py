@@ -96,7 +96,9 @@ _SOURCES = tuple(f"src{i}" for i in range(20))
 
 @query("SELECT coalesce(label, 'All') AS label, " + ", ".join(f"CAST(count(*) FILTER (WHERE source = '{s}') AS BIGINT) AS {s}" for s in _SOURCES) + ", count(*) AS \"All\" FROM posts GROUP BY ROLLUP (label)")
 def f9_crosstab(spark: SparkSession, d: str) -> DataFrame:
-    return merge.crosstab(posts(spark, d), "label", "source", _SOURCES)
+    p = posts(spark, d)
+    others = {r[0] for r in p.select("source").distinct().collect()} - {*_SOURCES}
+    return merge.crosstab(p, "label", "source", [*_SOURCES, *sorted(others - {None}), *(others & {None})])
 
 
 @query("SELECT label, count(DISTINCT key) AS unique_texts FROM posts WHERE key <> '' GROUP BY label")

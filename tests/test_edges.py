@@ -199,3 +199,12 @@ def test_stream_keeps_one_row_a_key(spark, tmp_path):
     out = jobs.distinct_stream(log, "t", "ts", "1 hour").writeStream.format("memory").queryName("once").trigger(availableNow=True).start()
     out.awaitTermination()
     assert sorted(tx for (tx,) in spark.sql("SELECT lower(replace(t, '  ', ' ')) FROM once").collect()) == ["a b", "c"]
+
+
+def test_crosstab_has_a_column_for_every_source(spark, tmp_path):
+    from sieveline.plans import analysis
+
+    rows = [(i, f"text {i}", "en", s, 6) for i, s in enumerate(["src0", "src0", "blog", "src25", None])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    total = next(r for r in analysis.QUERIES["f9_crosstab"](spark, str(tmp_path)).collect() if r["label"] == "All")
+    assert (total["src0"], total["blog"], total["src25"], total["null"], total["src1"], total["All"]) == (2, 1, 1, 1, 0, 5)
