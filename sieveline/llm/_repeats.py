@@ -1,34 +1,26 @@
-"""Exact search for windows of L units (words or bytes) that start at more than one place of a corpus.
-
-1. Every window is keyed by its anchor, the k-gram of least hash in it (leftmost on ties). Neighbouring windows with one
-   anchor form a run. Equal windows have equal anchors at equal offsets, so only runs of one anchor need comparing.
-   About 2 / (L - k + 2) runs a unit leave a map task: 24 bytes each, no text.
-2. Runs are counted by (anchor, hash of all they cover). A run that covers the same units as another is repeated whole;
-   an anchor with one cover needs no more work. Both are counts with map-side combining, so no hot passage or group of
-   copies meets in one task.
-3. What is left are runs that share an anchor but not all units (the ends of repeated passages). One run of each cover
-   goes on: its windows are cut into blocks of offsets, each with a core (the units that all windows of the block share)
-   and a cover, and step 2 is repeated with smaller blocks, to a block of one window, where core and cover are the window.
-
-The keys are 64-bit fingerprints; two windows count as equal if anchor and cover fingerprints both agree.
+"""Content-defined blocks of texts: where they are cut, what covers them, and the stretches of texts that need a closer look.
+
+Every window of L units (words or bytes) has an anchor, the k-gram of least hash in it (leftmost on ties). Neighbouring
+windows with one anchor form a block. Equal windows have equal anchors at equal offsets, so only blocks of one anchor need
+comparing, and equal passages are cut into equal blocks wherever they stand. About 2 / (L - k + 2) blocks a unit leave a map
+task as narrow rows, without text. Keys are 64-bit fingerprints; blocks count as equal if those of anchor and cover agree.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ._spark import Work, keyed
+from ._spark import keyed
 from ._units import BYTE_VALUE, PIECE, Prefix, U, groups, mix, raw, signed, sliding_min, words
 
 POS = U((1 << 24) - 1)
 
-RUN_SCHEMA = "k1 long, k2 long, start long, n int, ohi int, core long, cover long"
-BLOCK_SCHEMA = "k1 long, k2 long, start long, ohi int, mult int, o1 int, o2 int, core long, cover long"
+#: at: first window's start; n: windows; ohi: the anchor's offset in the first window; core: the anchor; cover: all units.
+BLOCK_SCHEMA = "k1 long, k2 long, at long, n int, ohi int, core long, cover long"
 #: units of rows: (values, first unit of each row)
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -41,13 +33,12 @@ def word_units(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words(data, offs)
 
 
-def runs(values: np.ndarray, ends: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows of concatenated rows; ends: each row's end. (start, windows, anchor's offset, core, cover)."""
+def cut(prefix: Prefix, ends: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
+    """Blocks of concatenated rows; ends: each row's end. (start, windows, anchor's place, anchor's gram, cover)."""
     none = np.zeros(0, np.int64)
-    n = len(values)
+    n = len(prefix.sums) - 1
     if n < length:
         return none, none, none, none.view(np.uint64), none.view(np.uint64)
-    prefix = Prefix(values)
     grams = prefix.grams(k)
     least = sliding_min((grams & ~POS) | np.arange(len(grams), dtype=np.uint64), length - k + 1)
     at = np.arange(n - length + 1)
@@ -58,36 +49,44 @@ def runs(values: np.ndarray, ends: np.ndarray, length: int, k: int) -> tuple[np.
     stop = np.append(np.flatnonzero(new | ~valid), len(at))
     end = stop[np.searchsorted(stop, start, "right")]
     anchor = (least[start] & POS).astype(np.int64)
-    count, ohi = end - start, anchor - start
-    cover = mix(prefix.hash(start, end - 1 + length) ^ (ohi * 65536 + count).astype(np.uint64))
-    return start, count, ohi, grams[anchor], cover
+    count = end - start
+    cover = mix(prefix.hash(start, end - 1 + length) ^ ((anchor - start) * 65536 + count).astype(np.uint64))
+    return start, count, anchor, grams[anchor], cover
+
 
+def row_blocks(units: Units, length: int, k: int, depths: Sequence[int] = ()) -> Callable:
+    """The blocks of every text. For each depth a column more: the fingerprint of so many units from the anchor on, null
+    where the windows of the block don't reach so far."""
 
-def _row_runs(units: Units, length: int, k: int) -> Callable:
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offs = raw(batch.column(2))
-            k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            data, offs = raw(batch.column("text"))
+            k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2"))
             for lo, hi in groups(offs):
                 values, first = units(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
                 step = max(4 * length, 2 * PIECE)
                 for a in range(0, max(1, len(values) - length + 1), step):  # more than one step only for a very long text
                     part = values[a : a + step + length - 1]
-                    ends = np.clip(first[1:] - a, 0, len(part))
-                    start, n, ohi, core, cover = runs(part, ends, length, k)
+                    prefix = Prefix(part)
+                    start, n, anchor, core, cover = cut(prefix, np.clip(first[1:] - a, 0, len(part)), length, k)
                     if not len(start):
                         continue
                     row = np.searchsorted(first, start + a, "right") - 1
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (k1[lo + row], k2[lo + row], start + a - first[row], n.astype(np.int32), ohi.astype(np.int32), signed(core), signed(cover))],
-                        names=["k1", "k2", "start", "n", "ohi", "core", "cover"],
-                    )
+                    cols = [k1[lo + row], k2[lo + row], start + a - first[row], n.astype(np.int32), (anchor - start).astype(np.int32), signed(core), signed(cover)]
+                    arrays = [pa.array(x) for x in cols]
+                    for depth in depths:
+                        beyond = anchor + depth > start + n - 1 + length
+                        arrays.append(pa.array(signed(prefix.hash(anchor, np.where(beyond, anchor, anchor + depth))), mask=beyond))
+                    yield pa.RecordBatch.from_arrays(arrays, names=["k1", "k2", "at", "n", "ohi", "core", "cover", *(f"d{depth}" for depth in depths)])
 
     return f
 
 
-def _segments(units_are_words: bool, length: int) -> Callable:
-    """Cuts the stretches that open runs cover out of their texts."""
+SEGMENT_SCHEMA = "k1 long, k2 long, seg long, n int, ohi int, mult int, body binary"
+
+
+def segments(of_words: bool, length: int) -> Callable:
+    """Cuts the stretches that open blocks cover out of their texts; open: array<struct<at, n, ohi, mult>>."""
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,123 +95,42 @@ def _segments(units_are_words: bool, length: int) -> Callable:
             size = 0
             for i in range(len(batch)):
                 body = texts[i].as_py() or b""
-                if units_are_words:
+                if of_words:
                     parts = body.split()
                 for s in batch.column("open")[i].as_py():
-                    a, b = s["start"], s["start"] + s["n"] - 1 + length
-                    cut = b" ".join(parts[a:b]) if units_are_words else body[a:b]
-                    size += len(cut)
-                    for o, x in zip(out, (batch.column("k1")[i].as_py(), batch.column("k2")[i].as_py(), a, s["n"], s["ohi"], s["mult"], cut), strict=True):
+                    a, b = s["at"], s["at"] + s["n"] - 1 + length
+                    piece = b" ".join(parts[a:b]) if of_words else body[a:b]
+                    size += len(piece)
+                    for o, x in zip(out, (batch.column("k1")[i].as_py(), batch.column("k2")[i].as_py(), a, s["n"], s["ohi"], s["mult"], piece), strict=True):
                         o.append(x)
-                if size > 8 * PIECE:
-                    yield pack(out)
-                    out, size = [[] for _ in range(7)], 0
+                    if size > 8 * PIECE:
+                        yield pack(out)
+                        out, size = [[] for _ in range(7)], 0
             if out[0]:
                 yield pack(out)
 
     def pack(out: list[list]) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["k1", "k2", "start", "n", "ohi", "mult", "body"])
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["k1", "k2", "seg", "n", "ohi", "mult", "body"])
 
     return f
 
 
-def _blocks(units: Units, length: int, size: int) -> Callable:
-    """Cores and covers of the blocks of `size` offsets of each segment; with a column todo, of these blocks only."""
-
-    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offs = raw(batch.column("body"))
-            col = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2", "start", "n", "ohi", "mult")}
-            todo = batch.column("todo")
-            for lo, hi in groups(offs):
-                values, first = units(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
-                prefix = Prefix(values)
-                part = todo.slice(lo, hi - lo)
-                lens = np.diff(part.offsets.to_numpy())
-                seg = np.repeat(np.arange(hi - lo), lens)
-                pair = part.flatten()
-                b1, b2 = (pair.field(j).to_numpy(zero_copy_only=False).astype(np.int64) for j in (0, 1))
-                # todo holds ranges of offsets [b1, b2]; each is cut into the blocks of this size that it meets
-                lo_b, hi_b = b1 // size, b2 // size
-                times = hi_b - lo_b + 1
-                which = np.repeat(np.arange(len(seg)), times)
-                b = lo_b[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-                seg, o1, o2 = seg[which], np.maximum(b * size, b1[which]), np.minimum(b * size + size - 1, b2[which])
-                anchor = first[seg] + col["ohi"][lo + seg]
-                core = prefix.hash(anchor - b * size, anchor - b * size - size + 1 + length)
-                cover = prefix.hash(anchor - o2, anchor - o1 + length)
-                core = mix(core ^ (b.astype(np.uint64) + U(1)))
-                cover = mix(cover ^ (o1 * 65536 + o2).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (*(col[c][lo + seg] for c in ("k1", "k2", "start", "ohi", "mult")), o1.astype(np.int32), o2.astype(np.int32), signed(core), signed(cover))],
-                    names=["k1", "k2", "start", "ohi", "mult", "o1", "o2", "core", "cover"],
-                )
-
-    return f
-
+def offsets_of(batch: pa.RecordBatch, lo: int, hi: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The parts of `size` offsets that segments lo .. hi have to do: (segment, number of the part, first, last offset).
 
-def _judged(rows: DataFrame, count: Column, rep: list[str]) -> DataFrame:
-    """(core, cover) that are repeated or need a closer look: m occurrences, nd covers of the core, a representative."""
-    a = rows.groupBy("core", "cover").agg(count.alias("m"), F.min(F.struct(*rep)).alias("rep"))
-    nd = a.groupBy("core").agg(F.count("*").alias("nd")).where("nd > 1")
-    return a.join(nd, "core", "left").where("m > 1 or nd is not null")
-
-
-def repeated(docs: DataFrame, length: int, k: int, blocks: tuple[int, ...], of_words: bool, work: Work) -> DataFrame:
-    """(k1, k2, spans): for every text with repeated windows their first starts and numbers, as array<struct<start, n>>.
-
-    docs: doc_id, text. blocks: falling numbers of offsets a pass, the last of them 1."""
-    units = word_units if of_words else byte_units
-    d = keyed(docs, "doc_id", "text").drop("doc_id")
-    found = work.keep(d.mapInArrow(_row_runs(units, length, k), RUN_SCHEMA), "runs")
-    judged = work.keep(_judged(found, F.count("*"), ["k1", "k2", "start", "n", "ohi"]), "judged")
-    whole = found.join(judged.where("m > 1").select("core", "cover"), ["core", "cover"]).select("k1", "k2", "start", "n")
-    spans = [work.keep(whole, "whole")]
-    opened = judged.where("nd is not null").select("rep.*", F.least(F.col("m"), F.lit(2)).cast("int").alias("mult"))
-    opened = opened.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n", "ohi", "mult")).alias("open"))
-    cut = d.join(opened, ["k1", "k2"])
-    # rows that agree in id and text share a key; one of them gives the segments
-    cut = cut.mapInArrow(_segments(of_words, length), "k1 long, k2 long, start long, n int, ohi int, mult int, body binary")
-    segs = work.keep(cut.withColumn("todo", F.array(F.struct((F.col("ohi") - F.col("n") + 1).alias("b1"), F.col("ohi").alias("b2")))), "segments")
-    work.drop(found, judged)
-    for size in blocks:
-        rows = work.keep(segs.mapInArrow(_blocks(units, length, size), BLOCK_SCHEMA), f"blocks{size}")
-        if size == 1:  # core and cover are the window itself
-            twice = rows.groupBy("cover").agg(F.sum("mult").alias("m")).where("m > 1").select("cover")
-            full = rows.where("mult = 1").join(twice, "cover")
-        else:
-            seen = work.keep(_judged(rows, F.sum("mult"), ["k1", "k2", "start", "o1", "o2"]), f"judged{size}")
-            full = rows.where("mult = 1").join(seen.where("m > 1").select("core", "cover"), ["core", "cover"])
-        # the window with offset o starts ohi - o after its segment
-        full = full.select("k1", "k2", (F.col("start") + F.col("ohi") - F.col("o2")).alias("start"), (F.col("o2") - F.col("o1") + 1).alias("n"))
-        spans.append(work.keep(full, f"full{size}"))
-        if size > 1:
-            again = seen.where("nd is not null").select("rep.*").withColumns({"b1": F.col("o1"), "b2": F.col("o2")})
-            again = again.groupBy("k1", "k2", "start").agg(F.collect_list(F.struct("b1", "b2")).alias("todo"))
-            kept = work.keep(segs.drop("todo").join(again, ["k1", "k2", "start"]), f"segments{size}")
-            work.drop(rows, segs, seen)
-            segs = kept
-        else:
-            work.drop(rows, segs)
-    every = spans[0]
-    for s in spans[1:]:
-        every = every.unionByName(s)
-    return every.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    A segment's todo holds ranges of offsets [b1, b2]; each is cut into the parts that it meets."""
+    part = batch.column("todo").slice(lo, hi - lo)
+    seg = np.repeat(np.arange(hi - lo), np.diff(part.offsets.to_numpy()))
+    pair = part.flatten()
+    b1, b2 = (pair.field(j).to_numpy(zero_copy_only=False).astype(np.int64) for j in (0, 1))
+    lo_b, hi_b = b1 // size, b2 // size
+    times = hi_b - lo_b + 1
+    which = np.repeat(np.arange(len(seg)), times)
+    b = lo_b[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+    return seg[which], b, np.maximum(b * size, b1[which]), np.minimum(b * size + size - 1, b2[which])
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, text, spans; every row of docs stays."""
-    return keyed(docs, "doc_id", "text").join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
-
-
-def covered(n: int, spans: list[dict] | None, length: int) -> np.ndarray | None:
-    """Which of n units the windows cover; None for none."""
-    if not spans:
-        return None
-    edge = np.zeros(n + 1, np.int32)
-    start = np.fromiter((s["start"] for s in spans), np.int64, len(spans))
-    end = start + np.fromiter((s["n"] for s in spans), np.int64, len(spans)) - 1 + length
-    np.add.at(edge, start, 1)
-    np.add.at(edge, end, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return keyed(docs, "doc_id", "text").join(spans, ["k1", "k2"], "left").select("k1", "k2", "doc_id", "text", "spans")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ MIN_LONG = -(2**63)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (tests), one of our own."""
+    """The folder that driver and executors share. Only where a local session names none (tests), one of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="sieveline-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
@@ -23,7 +26,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Work:
-    """Intermediate tables of one operator call, written to the shared folder so that lost executors cost no recomputation."""
+    """Intermediate tables of one operator call, written to the shared folder so that lost executors cost no recomputation.
+
+    Results are lazy and may read them as long as the session lives; the folder goes when the driver's JVM ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -35,17 +40,23 @@ class Work:
         self.n += 1
         path = f"{self.root}/{self.n:02d}-{name}"
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        if self.n == 1:
+            fs, root = self._file_system(self.root)
+            fs.deleteOnExit(root)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         return out
 
+    def _file_system(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
     def drop(self, *frames: DataFrame) -> None:
         """Deletes tables that nothing lazy reads any more."""
         for df in frames:
             if path := self.paths.pop(id(df), None):
-                jvm = self.spark._jvm
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                fs, p = self._file_system(path)
+                fs.delete(p, True)
 
 
 def keyed(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
@@ -59,6 +70,18 @@ def keyed(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of df has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def parts_for(spark: SparkSession, amount: float, each: float) -> int:
     """So many partitions that each holds about `each` of `amount`."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), math.ceil(amount / each))

@@ -75,6 +75,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS B
 FROM d LEFT JOIN cut USING (rid) LEFT JOIN kept USING (rid)
 """
 
+#: Two hex digits a byte; a text is cut into chunks of 4,000 bytes and 399 of the next, so that a window is found fast.
+_OP3 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+ch AS (SELECT rid, o, substr(x, 2 * o + 1, 2 * 4399) AS c FROM d, unnest(range(0, length(x) // 2, 4000)) AS t(o)),
+win AS (SELECT rid, o + j AS i, md5_number(substr(c, 2 * j + 1, 800)) AS h FROM ch, unnest(range(0, least(4000, length(c) // 2 - 399))) AS t(j)),
+dup AS (SELECT rid, i FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)),
+edge AS (SELECT rid, i, CASE WHEN i <= lag(i) OVER w + 400 THEN 0 ELSE 1 END AS new FROM dup WINDOW w AS (PARTITION BY rid ORDER BY i)),
+isl AS (SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS k FROM edge),
+span AS (SELECT rid, min(i) AS a, max(i) + 400 AS b FROM isl GROUP BY rid, k),
+gone AS (SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY rid),
+stop AS (SELECT rid, a, b FROM span UNION ALL SELECT rid, length(x) // 2, length(x) // 2 FROM d),
+gap AS (SELECT rid, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a, b), 0) AS lo, a AS hi FROM stop),
+kept AS (SELECT g.rid, string_agg(substr(x, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo) AS left_hex FROM gap g JOIN d USING (rid) GROUP BY g.rid)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(left_hex)) AS kept_sha256
+FROM d JOIN kept USING (rid) LEFT JOIN gone USING (rid)
+"""
+
 #: A control string grows by one sign, a backslash by one, a line end in a role by one.
 _OP2 = r"""
 WITH c AS (
@@ -146,4 +164,4 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM e JOIN c ON c.a = e.rid LEFT JOIN k ON k.a = e.rid
 """
 
-ORACLES = {"op4_ngram_join": _OP4, "op9_vector_dedup": _OP9, "op6_warc_zip": _OP6, "op1_rlz_dedup": _OP1, "op2_chat_format": _OP2}
+ORACLES = {"op4_ngram_join": _OP4, "op9_vector_dedup": _OP9, "op6_warc_zip": _OP6, "op1_rlz_dedup": _OP1, "op3_suffix_dedup": _OP3, "op2_chat_format": _OP2}

@@ -72,6 +72,59 @@ def test_op1_remove_keeps_rows_and_columns(docs):
     assert kept[5003] is None and kept[5005] == " \t a b\x0b" and kept[7] == ""
 
 
+def test_op1_factors_are_copies_and_cover_what_goes(docs):
+    texts = collections.defaultdict(list)
+    for i, t in corpus():
+        texts[i].append((t or "").split())
+    gone = collections.defaultdict(set)
+    for f in rlz.factors(docs).collect():
+        assert f["length"] >= 35
+        own = [t[f["start"] : f["start"] + f["length"]] for t in texts[f["doc_id"]] if len(t) >= f["start"] + f["length"]]
+        there = [t[f["source_start"] : f["source_start"] + f["length"]] for t in texts[f["source_id"]]]
+        assert any(a == b and len(a) == f["length"] for a in own for b in there)
+        assert (f["doc_id"], f["start"]) != (f["source_id"], f["source_start"]) or len(texts[f["doc_id"]]) > 1
+        gone[f["doc_id"]] |= {*range(f["start"], f["start"] + f["length"])}
+    for (i, _), (_, g) in zip(corpus(), windows([t for _, t in corpus()], 35, True), strict=True):
+        if i not in (None, 7):  # these ids stand for several rows
+            assert gone[i] == {k for k, x in enumerate(g) if x}
+
+
+def test_op1_parse_is_greedy(spark):
+    """Of two sources the one that goes farther is taken; a new factor starts where it ends."""
+    at, n = [0, 5, 9, 30], [5, 4, 1, 2]
+    a, b, own = (1, 0, 100), (2, 0, 200), (9, 9, 5)
+    places = [(a, b), ((1, 0, 105), (2, 0, 205)), ((2, 0, 209), (3, 0, 0)), (own, (1, 0, 900))]
+    assert rlz.parse(at, n, places, (9, 9), 35) == [(0, 44, b), (30, 36, (1, 0, 900))]
+    words = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(words[:120])), (2, " ".join(["x", *words]))]
+    got = {tuple(r) for r in rlz.factors(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {(1, 0, 120, 2, 1), (2, 1, 120, 1, 0)}
+
+
+def test_op1_op3_repeated_rows_share_short_lists(spark):
+    """3,000 equal rows with no id: each stretch once, in one key."""
+    text = " ".join(f"word{i}" for i in range(300))
+    d = spark.createDataFrame([(None, text)] * 3000, DOC).repartition(7)
+    for found in (rlz.pieces(d), suffix_dedup.spans(d)):
+        rows = found.collect()
+        assert len(rows) == 1 and len(rows[0]["spans"]) < 40
+    assert {tuple(r) for r in rlz.report(d).select("n_words", "n_removed").distinct().collect()} == {(300, 300)}
+
+
+def test_op1_remove_with_clashing_names(docs):
+    d = docs.withColumns({"K1": F.lit("x"), "k2": F.lit(2), "new_text": F.lit("y"), "cover": F.lit(3)})
+    out = rlz.remove(d)
+    assert out.columns == d.columns and {tuple(r) for r in out.select("K1", "k2", "new_text", "cover").distinct().collect()} == {("x", 2, "y", 3)}
+
+
+def test_op3_small_windows(spark):
+    rows = [(1, "abcabcx"), (2, "zzabcay"), (3, "aaaa"), (4, "é1é1"), (5, None)]
+    for n in (1, 3, 4):
+        want = sorted(str((i, len(s), sum(g))) for (i, _), (s, g) in zip(rows, windows([t for _, t in rows], n, False), strict=True))
+        got = suffix_dedup.report(spark.createDataFrame(rows, DOC), n).select("doc_id", "n_bytes", "n_removed")
+        assert sorted(str(tuple(r)) for r in got.collect()) == want
+
+
 def test_op3_bytes(docs):
     want = sorted(str((i, len(s), sum(g), sum(g[k] and not (k and g[k - 1]) for k in range(len(g))), hashlib.sha256(bytes(b for b, x in zip(s, g, strict=True) if not x)).hexdigest())) for (i, _), (s, g) in zip(corpus(), windows([t for _, t in corpus()], 400, False), strict=True))
     assert sorted(str(tuple(r)) for r in suffix_dedup.report(docs).collect()) == want
