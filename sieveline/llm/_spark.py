@@ -70,18 +70,6 @@ def keyed(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
     )
 
 
-def unused(df: DataFrame, *names: str) -> list[str]:
-    """Names for helper columns that no column of df has, in any case."""
-    taken = {c.lower() for c in df.columns}
-    out = []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
 def parts_for(spark: SparkSession, amount: float, each: float) -> int:
     """So many partitions that each holds about `each` of `amount`."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), math.ceil(amount / each))

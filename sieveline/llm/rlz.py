@@ -30,8 +30,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import unused
 from ._repeats import BLOCK_SCHEMA, SEGMENT_SCHEMA, offsets_of, row_blocks, segments, with_spans, word_units
-from ._spark import MIN_LONG, Work, keyed, unused
+from ._spark import MIN_LONG, Work, keyed
 from ._units import Prefix, U, groups, mix, raw, signed
 
 WINDOW = 35
