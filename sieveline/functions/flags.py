@@ -57,6 +57,12 @@ def parse_bool(x: Column | str) -> Column:
     return F.when(c == "true", True).when(c == "false", False)
 
 
+def now_utc() -> Column:
+    """When the query began, as an ISO text in UTC whatever the session's time zone."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
 def first_filled(*cols: Column | str) -> Column:
     """The first that is neither null nor empty."""
     cs = [F.col(c) if isinstance(c, str) else c for c in cols]

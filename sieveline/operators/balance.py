@@ -8,25 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.keys import halves, unused
 from ..functions.text import Key, md5_key, strip_key
-from ..sources.tables import work_path
-from .dedup import keep_first
-
-
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read again: cuts the lineage of a fold and survives lost executors."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from ..sources.tables import settled
+from .dedup import key_hashes, keep_first, rank_first
 
 
 def first_of_label(df: DataFrame, need: DataFrame, label: str, most: int, order: str = "_ord") -> DataFrame:
-    """The first `need` rows of each label. `most` bounds all needs: as a literal it lets the window drop the rest of a
-    large label before the shuffle, so that a label with a third of all rows isn't gathered in one task. need has one row a
-    label, and labels are a list the caller gives."""
-    w = W.partitionBy(label).orderBy(order)
-    ranked = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= most)
-    return ranked.join(F.broadcast(need), label).where(F.col("__rn") <= F.col("need")).drop("__rn", "need")
+    """The first `need` rows of each label; `most` bounds all needs. need has one row a label, and labels are a list the
+    caller gives."""
+    n, rn = unused(df, "need", "rn")
+    ranked = rank_first(df, label, order, most, rn)
+    return ranked.join(F.broadcast(need.withColumnRenamed("need", n)), label).where(F.col(rn) <= F.col(n)).drop(rn, n)
 
 
 def balance(main: DataFrame, sources: Sequence[tuple[str, DataFrame]], labels: Sequence[str], target: int, text: str = "clean_text", label: str = "final_category", key: Key = strip_key) -> DataFrame:
@@ -35,22 +28,22 @@ def balance(main: DataFrame, sources: Sequence[tuple[str, DataFrame]], labels: S
     A source gives each key once, by its first row among those not taken yet; a key left because its label was full may
     still come under another label from a later source. Adds balance_source; main itself is neither filtered nor changed."""
     spark = main.sparkSession
-    k = main.sparkSession.conf
-    if int(k.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")) <= target:
-        k.set("spark.sql.optimizer.windowGroupLimitThreshold", str(target + 1))
     cfg = spark.createDataFrame([(x,) for x in labels], f"{label} string")
-    seen = main.select(key(F.col(text)).alias("__key"))
+    k = key(F.col(text))
+    seen = key_hashes(main, k)
     have = main.groupBy(label).agg(F.count("*").alias("n"))
     taken = None
     for name, df in sources:
         need = cfg.join(have, label, "left").select(label, F.greatest(F.lit(target) - F.coalesce("n", F.lit(0)), F.lit(0)).alias("need")).where("need > 0")
-        fresh = df.where(F.col(label).isin(*labels)).withColumn("__key", key(F.col(text))).where("__key <> ''").join(seen, "__key", "left_anti")
-        picked = first_of_label(keep_first(fresh, F.col("__key")), need, label, target).withColumn("balance_source", F.lit(name))
-        picked = settled(picked, "balance")
+        h1, h2 = unused(df, "h1", "h2")
+        a, b = halves(k)
+        fresh = df.where(F.col(label).isin(*labels) & (k != "")).withColumns({h1: a, h2: b})
+        fresh = fresh.join(seen.toDF(h1, h2), [h1, h2], "left_anti").drop(h1, h2)
+        picked = settled(first_of_label(keep_first(fresh, k), need, label, target).withColumn("balance_source", F.lit(name)), "balance")
         taken = picked if taken is None else taken.unionByName(picked, allowMissingColumns=True)
-        seen = seen.unionByName(picked.select("__key"))
+        seen = seen.union(key_hashes(picked, k))
         have = have.unionByName(picked.groupBy(label).agg(F.count("*").alias("n"))).groupBy(label).agg(F.sum("n").alias("n"))
-    return taken.drop("__key") if taken is not None else main.limit(0)
+    return taken if taken is not None else main.limit(0)
 
 
 def quota_select(pool: DataFrame, plan: Sequence[tuple[str, Sequence[str], int, float]], text: str, flags: Sequence[str], seed: int = 42, key: Key = md5_key) -> DataFrame:
@@ -77,20 +70,45 @@ def sample_up_to(df: DataFrame, n: int, key: Column, seed: int = 42, order: str
 
 
 def split_main_overflow(rows: DataFrame, need: Mapping[str, int], label: str, key: str, order: str = "_ord") -> DataFrame:
-    """rows (older overflow first in order) with part main or overflow: the first `need` distinct keys of a label are main."""
-    once = keep_first(rows, F.concat_ws("\x1f", label, key), order)
-    cfg = rows.sparkSession.createDataFrame([(k, v) for k, v in need.items()], f"{label} string, need int")
-    rn = F.row_number().over(W.partitionBy(label).orderBy(order))
-    ranked = once.withColumn("__rn", rn).join(F.broadcast(cfg), label)
-    return ranked.withColumn("part", F.when(F.col("__rn") <= F.col("need"), "main").otherwise("overflow")).drop("__rn", "need")
+    """rows (older overflow first in order) with part main or overflow: the first `need` distinct keys of a label are main.
+    order has no repeats; rows of labels outside need go."""
+    part, n, rn = unused(rows, "part", "need", "rn")
+    once = keep_first(rows.where(F.col(label).isin(*need)), F.concat_ws("\x1f", label, key), order)
+    cfg = rows.sparkSession.createDataFrame([*need.items()], f"{label} string, {n} int")
+    ranked = rank_first(once.select(label, order), label, order, max([0, *need.values()]), rn).join(F.broadcast(cfg), label)
+    main = ranked.where(F.col(rn) <= F.col(n)).select(label, order, F.lit(True).alias(rn))
+    return once.join(main, [label, order], "left").withColumn(part, F.when(F.col(rn), "main").otherwise("overflow")).drop(rn)
+
+
+def promote(main: DataFrame, overflow: DataFrame, need: Mapping[str, int], label: str, text: str, order: str = "_ord", key: Key = strip_key) -> tuple[DataFrame, DataFrame]:
+    """(main, overflow) after the first `need` distinct keys of each label have moved from overflow to main, in order.
+
+    A key stands under the label of its first row; all rows of overflow with a promoted key go. order has no repeats in
+    overflow; main gets the columns it has."""
+    k = key(F.col(text))
+    n, rn = unused(overflow, "need", "rn")
+    once = keep_first(overflow, k, order)
+    cfg = overflow.sparkSession.createDataFrame([*need.items()], f"{label} string, {n} int")
+    ranked = rank_first(once.where(F.col(label).isin(*need)).select(label, order), label, order, max([0, *need.values()]), rn).join(F.broadcast(cfg), label)
+    moved = settled(once.join(ranked.where(F.col(rn) <= F.col(n)).select(order), order, "left_semi"), "promoted")
+    columns = [c for c in main.columns if c in moved.columns]
+    h1, h2 = unused(overflow, "h1", "h2")
+    a, b = halves(k)
+    gone = moved.select(a.alias(h1), b.alias(h2))
+    rest = overflow.withColumns({h1: a, h2: b}).join(gone, [h1, h2], "left_anti").drop(h1, h2)
+    return main.unionByName(moved.select(*columns), allowMissingColumns=True), rest
 
 
 def violations(rows: DataFrame, original: DataFrame, labels: Sequence[str], label: str, text: str, key: Key) -> DataFrame:
-    """Counts of broken output invariants in one row: empty, label out of scope, repeated key, key of the original."""
-    k = rows.withColumn("__key", key(F.col(text)))
-    o = original.select(key(F.col(text)).alias("__key")).distinct().withColumn("__o", F.lit(1))
-    j = k.join(o, "__key", "left")
-    return j.agg(
-        F.count_if(F.col("__key") == "").alias("empty_text"), F.count_if(~F.coalesce(F.col(label).isin(*labels), F.lit(False))).alias("bad_label"),
-        (F.count("*") - F.count_distinct("__key")).alias("repeated_key"), F.count_if(F.col("__o").isNotNull()).alias("in_original"),
+    """Counts of broken output invariants in one row: empty, label out of scope, repeated key, key of the original. One
+    aggregate by key over narrow rows of both tables, then one of counts."""
+    k = key(F.col(text))
+    a, b = halves(k)
+    bad = ~F.coalesce(F.col(label).isin(*labels), F.lit(False))
+    r = rows.select(a.alias("h1"), b.alias("h2"), F.lit(1).alias("n"), (k == "").cast("long").alias("empty"), bad.cast("long").alias("bad"), F.lit(False).alias("o"))
+    o = original.select(a.alias("h1"), b.alias("h2"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("empty"), F.lit(0).cast("long").alias("bad"), F.lit(True).alias("o"))
+    c = r.union(o).groupBy("h1", "h2").agg(*[F.sum(x).alias(x) for x in ("n", "empty", "bad")], F.max("o").alias("o"))
+    zero = lambda x: F.coalesce(x, F.lit(0))
+    return c.agg(
+        zero(F.sum("empty")).alias("empty_text"), zero(F.sum("bad")).alias("bad_label"), (zero(F.sum("n")) - F.count_if(F.col("n") > 0)).alias("repeated_key"), zero(F.sum(F.when(F.col("o"), F.col("n")))).alias("in_original"),
     )

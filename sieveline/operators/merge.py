@@ -31,17 +31,20 @@ def merge_schemas(train: DataFrame, new: DataFrame, flags: Sequence[str], group:
 def corpus_summary(merged: DataFrame, flags: Sequence[str], target: int, group: str = "language") -> DataFrame:
     """One row a (group, label_type, label): labels and raw flags, per group and for ALL, and meta rows per group.
 
-    Labels and flags are counted in one pass of grouping sets over the unpivoted rows; both are narrow before the shuffle."""
-    names = F.array(F.struct(F.lit("label_name").alias("label_type"), F.col("label_name").alias("label"), (F.col("label_name") != "").alias("on")), *[F.struct(F.lit("raw_label").alias("label_type"), F.lit(f).alias("label"), (F.col(f) == 1).alias("on")) for f in flags])
-    long = merged.select(group, F.explode(names).alias("x")).select(group, "x.*").where((F.col("label_type") == "raw_label") | F.col("on"))
+    Labels, flags and origins are counted in one pass of grouping sets over the unpivoted rows, narrow before the shuffle."""
+
+    def item(kind: str, label: Column, on: Column) -> Column:
+        return F.struct(F.lit(kind).alias("label_type"), label.alias("label"), on.alias("on"))
+
+    items = [item("label_name", F.col("label_name"), F.col("label_name") != ""), *(item("raw_label", F.lit(f), F.col(f) == 1) for f in flags)]
+    items += [item("meta", F.lit("total_rows="), F.lit(True)), item("meta", F.concat(F.lit("origin_"), F.col("origin")), F.lit(True))]
+    long = merged.select(group, F.explode(F.array(*items)).alias("x")).select(group, "x.*").where((F.col("label_type") == "raw_label") | F.col("on"))
     counts = long.groupingSets([[group, "label_type", "label"], ["label_type", "label"]], group, "label_type", "label").agg(F.grouping(group).alias("all"), F.count_if("on").alias("current_count"))
-    counts = counts.select(F.when(F.col("all") == 1, "ALL").otherwise(F.col(group)).alias(group), "label_type", "label", "current_count")
-    need, pct = F.greatest(F.lit(target) - F.col("current_count"), F.lit(0)), F.round(F.col("current_count") / target * 100, 1)
-    counts = counts.select(group, "label_type", "label", "current_count", need.cast("long").alias("need"), pct.alias("pct_of_target"))
-    meta = merged.groupingSets([[group, "origin"], [group]], group, "origin").agg(F.grouping("origin").alias("all"), F.count("*").alias("current_count"))
-    label = F.when(F.col("all") == 1, F.concat(F.lit("total_rows="), F.col("current_count").cast("string"))).otherwise(F.concat(F.lit("origin_"), F.col("origin")))
-    meta = meta.select(group, F.lit("meta").alias("label_type"), label.alias("label"), "current_count", F.lit(None).cast("long").alias("need"), F.lit(None).cast("double").alias("pct_of_target"))
-    return counts.unionByName(meta)
+    n, meta = F.col("current_count"), F.col("label_type") == "meta"
+    return counts.where(~meta | (F.col("all") == 0)).select(
+        F.when(F.col("all") == 1, "ALL").otherwise(F.col(group)).alias(group), "label_type", F.when(meta & (F.col("label") == "total_rows="), F.concat("label", n.cast("string"))).otherwise(F.col("label")).alias("label"), "current_count",
+        F.when(~meta, F.greatest(F.lit(target) - n, F.lit(0)).cast("long")).alias("need"), F.when(~meta, F.round(n / target * 100, 1)).alias("pct_of_target"),
+    )
 
 
 def schema_mismatch(merged: DataFrame, flags: Sequence[str], neutral: str = "safe", group: str = "language") -> DataFrame:

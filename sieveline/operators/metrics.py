@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.keys import halves
 from ..functions.text import lower_key, normalise
 
 HASHTAG = r"#[\p{L}\p{N}_]+"
@@ -46,21 +47,26 @@ def unique_ratio(df: DataFrame, label: str, text: str) -> DataFrame:
     return w.groupBy(label).agg(F.round(F.count("*") / F.sum("n"), 4).alias("token_unique_ratio"))
 
 
+def _top_share(items: DataFrame, label: str, item: str, top: int) -> DataFrame:
+    """Share of the `top` most frequent items among all items of a label. Items are counted once; what the windows then
+    sort is how many items have a count, a few rows a label."""
+    counts = items.groupBy(label, item).agg(F.count("*").alias("n")).groupBy(label, "n").agg(F.count("*").alias("m"))
+    before = W.partitionBy(label).orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, -1)
+    take = F.greatest(F.least(F.col("m"), F.lit(top) - F.coalesce(F.sum("m").over(before), F.lit(0))), F.lit(0))
+    best = counts.select(label, (F.col("n") * F.col("m")).alias("every"), (F.col("n") * take).alias("best"))
+    return best.groupBy(label).agg(F.round(F.sum("best") / F.sum("every"), 4).alias("share"))
+
+
 def ngram_top_share(df: DataFrame, label: str, text: str, n: int, top: int = 10) -> DataFrame:
-    """Share of the `top` most frequent n-grams among all n-grams of a label."""
-    t = df.select(label, tokens(F.col(text)).alias("t")).where(F.size("t") >= n)
-    grams = F.transform(F.sequence(F.lit(1), F.size("t") - n + 1), lambda i: F.array_join(F.slice("t", i, n), " "))
-    c = t.select(label, F.explode(grams).alias("g")).groupBy(label, "g").agg(F.count("*").alias("n"))
-    best = c.withColumn("rn", F.row_number().over(W.partitionBy(label).orderBy(F.desc("n"), "g"))).where(F.col("rn") <= top).groupBy(label).agg(F.sum("n").alias("best"))
-    return c.groupBy(label).agg(F.sum("n").alias("every")).join(best, label).select(label, F.round(F.col("best") / F.col("every"), 4).alias("share"))
+    """Share of the `top` most frequent n-grams among all n-grams of a label. Words and n-grams are 64-bit hashes."""
+    t = df.select(label, F.transform(tokens(F.col(text)), lambda w: F.xxhash64(w)).alias("t")).where(F.size("t") >= n)
+    grams = F.transform(F.sequence(F.lit(1), F.size("t") - n + 1), lambda i: F.xxhash64(*[F.element_at("t", i + k) for k in range(n)]))
+    return _top_share(t.select(label, F.explode(grams).alias("g")), label, "g", top)
 
 
 def start_top_share(df: DataFrame, label: str, text: str, words: int = 4, top: int = 10) -> DataFrame:
     """Share of texts that begin with one of the `top` most frequent openings."""
-    start = F.array_join(F.slice(tokens(F.col(text)), 1, words), " ")
-    c = df.groupBy(label, start.alias("s")).agg(F.count("*").alias("n"))
-    best = c.withColumn("rn", F.row_number().over(W.partitionBy(label).orderBy(F.desc("n"), "s"))).where(F.col("rn") <= top).groupBy(label).agg(F.sum("n").alias("best"))
-    return c.groupBy(label).agg(F.sum("n").alias("every")).join(best, label).select(label, F.round(F.col("best") / F.col("every"), 4).alias("share"))
+    return _top_share(df.select(label, F.xxhash64(F.slice(tokens(F.col(text)), 1, words)).alias("s")), label, "s", top)
 
 
 def top_hashtags(df: DataFrame, label: str, text: str, top: int = 30) -> DataFrame:
@@ -77,5 +83,6 @@ def review_sample(df: DataFrame, label: str, per_label: int, id_col: str, seed:
 
 
 def distinct_keys(df: DataFrame, label: str, text: str) -> DataFrame:
-    k = lower_key(F.col(text))
-    return df.where(normalise(F.col(text)) != "").select(label, k.alias("k")).distinct().groupBy(label).agg(F.count("*").alias("unique_texts"))
+    """Distinct keys of a label, blank ones apart."""
+    a, b = halves(lower_key(F.col(text)))
+    return df.where(normalise(F.col(text)) != "").select(label, a.alias("h1"), b.alias("h2")).distinct().groupBy(label).agg(F.count("*").alias("unique_texts"))

@@ -1,14 +1,14 @@
-"""Records out of model output: arrays, lines, verdicts, with repairs. Only the scan for balanced braces is Python, and
-only rows that don't parse as they are reach it."""
+"""Records out of model output: arrays, lines, verdicts, with repairs, all of them native expressions. Repairs stand in branches
+that are evaluated for rows alone that don't parse as they are."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..functions.keys import unused
 from ..functions.text import normalise, py_strip
+from .vote import Profile, valid_category
 
 
 def strip_fence(x: Column) -> Column:
@@ -58,22 +58,18 @@ def records(raw: Column) -> Column:
     return F.coalesce(F.try_variant_get(json_array(raw), "$", "array<variant>"), whole)
 
 
-@F.pandas_udf(T.StringType())
-def balanced_object(text: pd.Series) -> pd.Series:
-    """The first {...} whose braces balance, or the text; braces in strings count, as the source format's readers do."""
+def balanced_object(t: Column) -> Column:
+    """The first {...} whose braces balance, or the text; braces in strings count, as the source format's readers do. A fold over
+    the stretches that end in a brace."""
+    rest = F.substr(t, F.greatest(F.instr(t, "{"), F.lit(1)))
+    state = lambda depth, n, done: F.struct(depth.cast("int").alias("depth"), n.cast("int").alias("n"), done.alias("done"))
 
-    def scan(t: str | None) -> str | None:
-        if t is None or t.startswith("{"):
-            return t
-        start = t.find("{")
-        depth = 0
-        for i in range(start, len(t)) if start >= 0 else ():
-            depth += (t[i] == "{") - (t[i] == "}")
-            if depth == 0:
-                return t[start : i + 1]
-        return t
+    def step(s: Column, piece: Column) -> Column:
+        depth = s["depth"] + F.when(piece.endswith("{"), 1).otherwise(-1)
+        return F.when(s["done"], s).otherwise(state(depth, s["n"] + F.length(piece), depth == 0))
 
-    return text.map(scan)
+    end = F.aggregate(F.regexp_extract_all(rest, F.lit(r"[^{}]*[{}]"), F.lit(0)), state(F.lit(0), F.lit(0), F.lit(False)), step)
+    return F.when(t.startswith("{") | (F.instr(t, "{") == 0), t).when(end["done"], F.substr(rest, F.lit(1), end["n"])).otherwise(t)
 
 
 def _fenced(t: Column) -> Column:
@@ -89,21 +85,42 @@ def _closed(t: Column) -> Column:
     return F.when(s.endswith('"') & (lack > 0), F.concat(s, F.lit("\n"), F.repeat(F.lit("}"), lack.cast("int")))).otherwise(t)
 
 
-def verdicts(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """df with violation, category, confidence, reasoning and error of a model's verdict, read as tolerantly as can be.
-
-    Native passes first; the brace scan runs in batches over the rows that are still unread."""
-    t = _fenced(py_strip(F.coalesce(F.col(raw), F.lit(""))))
-    d = df.withColumn("__t", t).withColumn("__v", F.try_parse_json("__t"))
-    scanned = d.withColumn("__t", F.when(F.col("__v").isNull(), balanced_object("__t")).otherwise(F.col("__t")))
-    closed = _closed(F.col("__t"))
+def verdicts(df: DataFrame, raw: str = "raw", profile: Profile | None = None) -> DataFrame:
+    """df with a model's verdict, read as tolerantly as can be: violation, category, confirmed_label, confidence,
+    reasoning, usable, label_match, risk_level, audit_action, reason_code, error.
+
+    With a profile, category and violation are put in order as vote.validated does: a category outside the taxonomy leaves
+    no violation and an error, a neutral one none. Only a JSON boolean is a violation. confirmed_label is the category
+    where the model gives none; usable and label_match are texts, for they come as booleans or as words. What can't
+    be read is the neutral category with an error, and its reasoning holds the start of the raw text."""
+    t_, v_, got_ = unused(df, "t", "v", "got")
+    body = _fenced(py_strip(F.coalesce(F.col(raw), F.lit(""))))
+    d = df.withColumn(t_, body).withColumn(v_, F.try_parse_json(t_))
+    t, v = F.col(t_), F.col(v_)
+    cut = balanced_object(t)
+    closed = _closed(cut)
     loose = F.regexp_replace(F.regexp_replace(closed, r",\s*\}", "}"), r",\s*\]", "]")
-    v = F.coalesce(F.col("__v"), F.try_parse_json("__t"), F.try_parse_json(closed), F.try_parse_json(loose))
-    d = scanned.withColumn("__v", v).withColumn("__v", F.when(F.schema_of_variant("__v").startswith("OBJECT"), F.col("__v")))
-    get = lambda name, kind: F.try_variant_get("__v", f"$.{name}", kind)
-    # only a JSON boolean is a verdict; a string that says "true" is not
-    strict = F.when(F.schema_of_variant(F.try_variant_get("__v", "$.violation", "variant")) == "BOOLEAN", get("violation", "boolean"))
-    return d.withColumns({
-        "violation": strict, "category": get("category", "string"), "confidence": F.coalesce(get("confidence", "string").try_cast("double"), F.lit(0.0)),
-        "reasoning": F.coalesce(get("reasoning", "string"), F.lit("")), "error": F.when(F.col("__v").isNull(), "JSON parse error"),
-    }).drop("__t", "__v")
+    d = d.withColumn(v_, F.when(v.isNotNull(), v).otherwise(F.coalesce(F.try_parse_json(cut), F.try_parse_json(closed), F.try_parse_json(loose))))
+    d = d.withColumn(v_, F.when(F.schema_of_variant(v_).startswith("OBJECT"), v))
+    get = lambda name, kind="string": F.try_variant_get(v_, f"$.{name}", kind)
+    read = v.isNotNull()
+    said = F.when(F.schema_of_variant(F.try_variant_get(v_, "$.violation", "variant")) == "BOOLEAN", get("violation", "boolean"))
+    neutral = profile.neutral if profile else None
+    category, violation, error = get("category"), said, F.lit(None).cast("string")
+    if profile:
+        valid = valid_category(get("category"), profile)
+        category = F.when(valid.isNull() | ~read, neutral).otherwise(valid)
+        is_neutral = valid == neutral
+        category = F.when(said == F.lit(False), neutral).otherwise(category)
+        violation = F.when(valid.isNull(), None).when(is_neutral, False).otherwise(said)
+        error = F.when(valid.isNull(), F.concat(F.lit("Invalid category from model: "), get("category"))).when(~is_neutral & said.isNull(), "Missing or invalid violation field from model")
+    blank = lambda name: F.coalesce(get(name), F.lit(""))
+    fields = F.struct(
+        F.when(read, violation).cast("boolean").alias("violation"), category.alias("category"), F.coalesce(get("confirmed_label"), category).alias("confirmed_label"),
+        F.coalesce(get("confidence").try_cast("double"), F.lit(0.0)).alias("confidence"),
+        F.when(read, blank("reasoning")).otherwise(F.concat(F.lit("Failed to parse JSON response after 3 attempts. Raw: "), F.left(F.coalesce(F.col(raw), F.lit("")), F.lit(500)))).alias("reasoning"),
+        get("usable").alias("usable"), get("label_match").alias("label_match"), blank("risk_level").alias("risk_level"), blank("audit_action").alias("audit_action"), blank("reason_code").alias("reason_code"),
+        F.when(~read, "JSON parse error: could not extract valid JSON from response").otherwise(error).alias("error"),
+    )
+    kept = [f"`{c}`" for c in df.columns]
+    return d.select(*kept, fields.alias(got_)).select(*kept, f"{got_}.*")

@@ -34,6 +34,17 @@ class Rule:
         return out
 
 
+def boundary_rules(drop_if_absent: Sequence[Rule] = (), drop_if_present: Sequence[Rule] = (), base: Sequence[Rule] = ()) -> list[Rule]:
+    """A rule table with optional drops: for a label, its base rules come first, then the drops asked for, then its keep."""
+    drops = {r.label: r for r in (*drop_if_absent, *drop_if_present)}
+    out: list[Rule] = []
+    for r in base:
+        if r.action == "keep" and r.label in drops:
+            out.append(drops[r.label])
+        out.append(r)
+    return out
+
+
 def decide(label: Column, text: Column, rules: Sequence[Rule], only: Column | None = None, otherwise: str = "not_target_keep", outside: str = "real_or_original_keep") -> Column:
     """struct(action, reason, new_label)."""
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import exclude_ids
+from ..functions.text import Key, lower_key
+from ..sources.tables import settled
+from .dedup import exclude, exclude_ids, keep_first
+from .merge import distribution
 
 
 def remaining(df: DataFrame, done: DataFrame | None, id_col: str) -> DataFrame:
@@ -41,6 +44,27 @@ def next_label(gaps: DataFrame, label: str, gap: str, order: Sequence[str], batc
     return best.select("b.label", F.col("b.gap").alias("gap"), F.least(F.lit(batch), F.greatest("b.gap", F.lit(5))).cast("long").alias("ask"))
 
 
+def fill_to_target(
+    main: DataFrame, ask: Callable[[str, int, int], DataFrame], labels: Sequence[str], target: int, max_rounds: int, batch: int,
+    accept: Callable[[DataFrame, str], DataFrame] = lambda rows, label: rows, label: str = "final_category", text: str = "clean_text", key: Key = lower_key,
+) -> tuple[DataFrame, int]:
+    """Generates until each label has `target` rows or max_rounds are over: (main with the new rows, rounds made).
+
+    Each round counts the gaps anew, asks for up to `batch` rows of the label with the largest one (the first of the list on
+    ties), keeps those that `accept` lets through and whose key is new, and writes them. ask(label, n, round) gives rows with
+    text and _ord; the loop itself sees one row a label."""
+    now, rounds = main, 0
+    while rounds < max_rounds:
+        pick = next_label(distribution(now, label, labels, target), label, "gap", labels, batch).first()
+        if pick is None:
+            break
+        rows = accept(ask(pick["label"], pick["ask"], rounds).withColumn(label, F.lit(pick["label"])), pick["label"])
+        fresh = exclude(keep_first(rows, key(F.col(text))), now, text, key=key).orderBy("_ord").limit(pick["gap"])
+        now = now.unionByName(settled(fresh, "round"), allowMissingColumns=True)
+        rounds += 1
+    return now, rounds
+
+
 def run_status(report: DataFrame, target: int, max_retry: int) -> DataFrame:
     """final_total_count, gap_remaining and status of a generation report's rows; the first case that holds decides."""
     total = F.col("original_unique_count") + F.col("accepted_main_count")

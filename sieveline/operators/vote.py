@@ -132,3 +132,28 @@ def unanimity(wide_rows: DataFrame, jurors: Sequence[str] = ("A", "B", "C")) ->
     for c in cols[1:]:
         same = same & (c == cols[0])
     return whole.agg(F.count("*").alias("complete"), F.round(F.avg(same.cast("double")), 6).alias("unanimity"))
+
+
+def annotation_report(results: DataFrame, category: str = "final_category") -> DataFrame:
+    """(section, item, n, pct): the distribution of categories and of violations (true, false, null), of vote methods,
+    the mean of total_latency_ms, and how many complete juries agree, pct being of complete ones. One pass over results, columns
+    juror_*_violation and total_latency_ms among them; sections whose columns are absent are left out."""
+    cols = results.columns
+    item = lambda section, name, n, weight: F.struct(F.lit(section).alias("section"), name.cast("string").alias("item"), n.cast("double").alias("x"), weight.cast("long").alias("w"))
+    one = F.lit(1)
+    items = [item("rows", F.lit("all"), one, one)]
+    items += [item("category", F.col(category), one, one)] * (category in cols)
+    items += [item("violation", F.coalesce(F.col("final_violation").cast("string"), F.lit("null")), one, one)] * ("final_violation" in cols)
+    items += [item("vote_method", F.col("vote_method"), one, one)] * ("vote_method" in cols)
+    items += [item("latency", F.lit("mean_total_ms"), F.col("total_latency_ms"), F.col("total_latency_ms").isNotNull())] * ("total_latency_ms" in cols)
+    jury = [f"juror_{j}_violation" for j in "abc"]
+    if set(jury) <= set(cols):
+        a, b, c = (F.col(x) for x in jury)
+        whole = a.isNotNull() & b.isNotNull() & c.isNotNull()
+        items.append(item("agreement", F.lit("unanimous"), (whole & (a == b) & (b == c)).cast("int"), whole))
+    g = results.select(F.explode(F.array(*items)).alias("i")).select("i.*").groupBy("section", "item").agg(F.sum("x").alias("x"), F.sum("w").alias("w"))
+    total = g.agg(F.max(F.when(F.col("section") == "rows", F.col("w"))).alias("total"))  # one row
+    mean = F.col("section") == "latency"
+    n = F.when(mean, F.round(F.col("x") / F.col("w"), 4)).otherwise(F.coalesce("x", F.lit(0.0)))
+    of = F.when(F.col("section") == "agreement", F.col("w")).otherwise(F.col("total"))
+    return g.crossJoin(F.broadcast(total)).select("section", "item", n.alias("n"), F.when(~mean & (of > 0), F.round(n / of * 100, 1)).alias("pct"))

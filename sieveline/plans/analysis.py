@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import flags as fl
 from ..functions import text as tx
-from ..operators import balance, dedup, merge, metrics, parse, rules, state, vote
+from ..functions.keys import halves
+from ..operators import balance, dedup, merge, metrics, rules, state, vote
 from ..sources import tables as io
 from ..streaming import jobs
 from ._base import FLAGS, LABELS, Registry, flagged, fresh, posts, seen, sql_key, sql_norm, table, verdicts
@@ -70,11 +71,13 @@ def f6_conditional_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 SELECT count(*) AS total, count(*) FILTER (WHERE f1 + f2 + f3 > 0) AS positive, count(*) FILTER (WHERE f1 + f2 + f3 = 0) AS all_zero,
-       count(*) FILTER (WHERE key IN (SELECT key FROM seen)) AS already_seen FROM flagged
+       count(*) FILTER (WHERE key IN (SELECT key FROM seen WHERE key <> '')) AS already_seen FROM flagged
 """)
 def f7_funnel(spark: SparkSession, d: str) -> DataFrame:
-    keys = seen(spark, d).select(tx.lower_key("clean_text").alias("k")).distinct().withColumn("hit", F.lit(True))
-    f = flagged(spark, d).withColumn("k", tx.lower_key("clean_text")).join(keys, "k", "left")
+    key = tx.lower_key("clean_text")
+    keys = dedup.key_hashes(seen(spark, d), key).withColumn("hit", F.lit(True))
+    h1, h2 = halves(key)
+    f = flagged(spark, d).select(*F3, h1.alias("h1"), h2.alias("h2")).join(keys, ["h1", "h2"], "left")
     return f.agg(F.count("*").alias("total"), F.count_if(fl.any_flag(F3)).alias("positive"), F.count_if(~fl.any_flag(F3)).alias("all_zero"), F.count_if("hit").alias("already_seen"))
 
 
@@ -251,9 +254,9 @@ def h4_seeded_sample(spark: SparkSession, d: str) -> DataFrame:
     return balance.sample_up_to(posts(spark, d), 60, F.col("_ord")).select("_ord")
 
 
-@query("SELECT _ord, left(clean_text, 50) AS style FROM posts WHERE label = 'L4' ORDER BY md5(CAST(_ord AS VARCHAR) || '|7'), _ord LIMIT 8")
+@query(f"SELECT _ord, {sql_norm('clean_text')} AS style FROM posts WHERE label = 'L4' ORDER BY md5(CAST(_ord AS VARCHAR) || '|7'), _ord LIMIT 8")
 def h5_style_samples(spark: SparkSession, d: str) -> DataFrame:
-    return balance.sample_up_to(posts(spark, d).where("label = 'L4'"), 8, F.col("_ord"), 7).select("_ord", F.left("clean_text", F.lit(50)).alias("style"))
+    return balance.sample_up_to(posts(spark, d).where("label = 'L4'"), 8, F.col("_ord"), 7).select("_ord", tx.normalise("clean_text").alias("style"))
 
 
 @query("SELECT label, gap, least(30, greatest(gap, 5)) AS ask FROM (SELECT label, greatest(200 - count(*), 0) AS gap FROM posts GROUP BY label) WHERE gap > 0 ORDER BY gap DESC, label LIMIT 1")
@@ -271,36 +274,6 @@ def i4_main_overflow(spark: SparkSession, d: str) -> DataFrame:
     return balance.split_main_overflow(p, {"L1": 20, "L2": 35}, "label", "key").select("_ord", "part")
 
 
-def _raw(spark: SparkSession, d: str) -> DataFrame:
-    """Model output built from events: an array in a fence, with prose, or broken, by event_id % 4."""
-    i = F.col("event_id")
-    item = F.concat(F.lit('{"clean_text": "  text '), i.cast("string"), F.lit('  x", "final_category": "L'), (i % 3 + 1).cast("string"), F.lit('"}'))
-    arr = F.concat(F.lit("["), item, F.lit(", 7, "), item, F.lit("]"))
-    raw = F.when(i % 4 == 0, F.concat(F.lit("```json\n"), arr, F.lit("\n```"))).when(i % 4 == 1, F.concat(F.lit("Here: "), arr, F.lit(" done"))).when(i % 4 == 2, arr).otherwise(F.concat(F.lit("["), item, F.lit(", ")))
-    return table(spark, d, "events").select(i.alias("event_id"), F.format_string("b%04d", i).alias("batch_id"), raw.alias("raw_output"))
-
-
-@query("SELECT event_id, '{\"k\": ' || CAST(event_id % 10 AS VARCHAR) || '}' AS body FROM events")
-def k1_strip_fence(spark: SparkSession, d: str) -> DataFrame:
-    body = F.concat(F.lit('{"k": '), (F.col("event_id") % 10).cast("string"), F.lit("}"))
-    raw = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(" ```JSON\n"), body, F.lit("\n```\n"))).otherwise(body)
-    return table(spark, d, "events").select("event_id", parse.strip_fence(raw).alias("body"))
-
-
-@query("SELECT event_id, CASE WHEN event_id % 4 <> 3 THEN 3 END AS n_items FROM events")
-def k2_json_array(spark: SparkSession, d: str) -> DataFrame:
-    arr = F.try_variant_get(parse.json_array(F.col("raw_output")), "$", "array<variant>")
-    return _raw(spark, d).select("event_id", F.when(arr.isNotNull(), F.size(arr)).alias("n_items"))
-
-
-@query("SELECT event_id, CASE WHEN event_id % 3 < 2 THEN 2 END AS n FROM events")
-def k3_json_lines(spark: SparkSession, d: str) -> DataFrame:
-    i = F.col("event_id")
-    raw = F.when(i % 3 == 0, '{"a": 1},\n{"a": 2}\n').when(i % 3 == 1, '[{"a": 1}, {"a": 2}]').otherwise('{"a": 1}\n{"a": ')
-    got = parse.records(raw)
-    return table(spark, d, "events").select("event_id", F.when(got.isNotNull(), F.size(got)).alias("n"))
-
-
 @query("""
 SELECT content_id, juror, CASE WHEN content_id % 4 = 3 THEN NULL WHEN content_id % 4 IN (1, 2) THEN FALSE ELSE violation END AS violation,
        CASE WHEN content_id % 4 > 0 THEN 'L5' WHEN violation = FALSE THEN 'L5' WHEN category = 'L5' THEN 'L1' ELSE category END AS category FROM verdicts
@@ -312,30 +285,6 @@ def k4_verdict_validation(spark: SparkSession, d: str) -> DataFrame:
     return vote.validated(verdicts(spark, d).withColumn("category", kind), PROFILE).select("content_id", "juror", "violation", "category")
 
 
-@query("""
-SELECT event_id, CASE WHEN event_id % 6 < 5 THEN event_id % 2 = 0 END AS violation, CASE WHEN event_id % 6 < 5 THEN 'L1' END AS category,
-       CAST(CASE WHEN event_id % 6 < 5 THEN 0.5 ELSE 0 END AS DOUBLE) AS confidence, CASE WHEN event_id % 6 = 5 THEN 'JSON parse error' END AS error FROM events
-""")
-def k5_tolerant_verdict(spark: SparkSession, d: str) -> DataFrame:
-    i = F.col("event_id")
-    yes = F.when(i % 2 == 0, "true").otherwise("false")
-    body = F.concat(F.lit('{"violation": '), yes, F.lit(', "confidence": "0.5", "category": "L1"'))
-    raw = (
-        F.when(i % 6 == 0, F.concat(F.lit("```json\n"), body, F.lit("}\n```"))).when(i % 6 == 1, F.concat(F.lit("so {"), F.substring(body, 2, 999), F.lit("} there")))
-        .when(i % 6 == 2, body).when(i % 6 == 3, F.concat(body, F.lit(",}"))).when(i % 6 == 4, F.concat(body, F.lit("}"))).otherwise("no verdict")
-    )
-    return parse.verdicts(table(spark, d, "events").select("event_id", raw.alias("raw"))).select("event_id", "violation", "category", "confidence", "error")
-
-
-@query("""
-SELECT 'text ' || CAST(event_id AS VARCHAR) || ' x' AS clean_text, 'L' || CAST(event_id % 3 + 1 AS VARCHAR) AS final_category,
-       'b' || lpad(CAST(event_id AS VARCHAR), 4, '0') || '__item_0' || CAST(j AS VARCHAR) AS item_id
-FROM events, (VALUES (0), (2)) AS t(j) WHERE event_id % 4 <> 3
-""")
-def k6_batch_rows(spark: SparkSession, d: str) -> DataFrame:
-    return parse.raw_rows(_raw(spark, d), "m").select("clean_text", "final_category", "item_id")
-
-
 @query(f"""
 SELECT _ord, CASE WHEN {sql_norm('clean_text')} = '' THEN 'empty_clean_text' WHEN label = 'L3' THEN 'wrong_final_category'
   WHEN length({sql_norm('clean_text')}) NOT BETWEEN 40 AND 240 THEN 'bad_length_' || CAST(length({sql_norm('clean_text')}) AS VARCHAR)
@@ -501,7 +450,7 @@ def n1_resume(spark: SparkSession, d: str) -> DataFrame:
     path = io.work_path(spark, "resume")
     e = table(spark, d, "events").select("event_id")
     io.upsert(spark, path, e.where("event_id % 3 = 0"), "event_id", "event_id")
-    return state.remaining(e, io.read_or_empty(spark, path, ["event_id"]), "event_id")
+    return state.remaining(e, io.read_checkpoint(spark, path, "event_id", "event_id"), "event_id")
 
 
 @query("SELECT event_id % 300 AS content_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY event_id % 300")
@@ -513,7 +462,7 @@ def n2_stream_checkpoint(spark: SparkSession, d: str) -> DataFrame:
         io.append_log(e.where(F.col("event_id") % 2 == part).coalesce(1), f"{root}/log")
     log = jobs.read_log(spark, f"{root}/log", "content_id long, event_id long, event_type string", 1)
     jobs.upsert_stream(log, f"{root}/state", f"{root}/checkpoint", "content_id", "event_id").awaitTermination()
-    return spark.read.parquet(f"{root}/state")
+    return io.read_checkpoint(spark, f"{root}/state", "content_id", "event_id")
 
 
 @query("SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id, event_type")
@@ -557,9 +506,9 @@ def n7_quota_select(spark: SparkSession, d: str) -> DataFrame:
     return balance.quota_select(flagged(spark, d), plan, "clean_text", FLAGS).select("_ord", "target_label")
 
 
-@query("SELECT label, greatest(130 - count(DISTINCT key), 0) AS gap FROM posts WHERE key <> '' AND _ord % 10 < 7 GROUP BY label")
+@query("SELECT label, greatest(130 - count(DISTINCT key), 0) AS gap FROM posts WHERE key <> '' GROUP BY label")
 def n8_remaining_after_batch(spark: SparkSession, d: str) -> DataFrame:
-    got = metrics.distinct_keys(posts(spark, d).where("_ord % 10 < 7"), "label", "clean_text")
+    got = metrics.distinct_keys(posts(spark, d), "label", "clean_text")
     return got.select("label", F.greatest(F.lit(130) - F.col("unique_texts"), F.lit(0)).alias("gap"))
 
 

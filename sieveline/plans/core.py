@@ -98,9 +98,9 @@ def a11_latest_checkpoint(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(io.latest(spark, f"{root}/run_*.parquet"))
 
 
-@query("SELECT _ord, 'policy: P1 label=' || label || ' text=' || left(clean_text, 40) AS prompt FROM posts")
+@query("SELECT _ord, 'policy: P1 label=' || label || ' text=' || clean_text AS prompt FROM posts")
 def a12_template(spark: SparkSession, d: str) -> DataFrame:
-    t = tx.substitute("policy: {{POLICY}} label={label} text={text}", {"{{POLICY}}": F.lit("P1"), "{label}": F.col("label"), "{text}": F.left(F.col("clean_text"), F.lit(40))})
+    t = tx.substitute("policy: {{POLICY}} label={label} text={text}", {"{{POLICY}}": F.lit("P1"), "{label}": F.col("label"), "{text}": F.col("clean_text")})
     return posts(spark, d).select("_ord", t.alias("prompt"))
 
 
@@ -420,20 +420,20 @@ def h1_limit(spark: SparkSession, d: str) -> DataFrame:
     return posts(spark, d).orderBy("_ord").limit(25).select("_ord")
 
 
-@query("SELECT _ord FROM (SELECT _ord, f1 + f2 + f3 + f4 + f5 + f6 + f7 AS n, length(clean_text) AS c FROM flagged) ORDER BY n DESC, c DESC, _ord LIMIT 50")
+@query("SELECT _ord FROM (SELECT _ord, f1 + f2 + f3 + f4 + f5 + f6 + f7 AS n, length(clean_text) AS c FROM flagged) ORDER BY n DESC, c DESC, _ord")
 def h2_two_key_sort(spark: SparkSession, d: str) -> DataFrame:
-    return flagged(spark, d).orderBy(F.desc(fl.count_flags(FLAGS)), F.desc(F.length("clean_text")), "_ord").limit(50).select("_ord")
+    return flagged(spark, d).orderBy(F.desc(fl.count_flags(FLAGS)), F.desc(F.length("clean_text")), "_ord").select("_ord")
 
 
-@query("SELECT source, count(*) AS n FROM posts GROUP BY source ORDER BY n DESC, source LIMIT 7")
+@query("SELECT source, count(*) AS n FROM posts GROUP BY source ORDER BY n DESC, source")
 def h3_count_name_sort(spark: SparkSession, d: str) -> DataFrame:
-    return posts(spark, d).groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source").limit(7)
+    return posts(spark, d).groupBy("source").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source")
 
 
-@query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 40")
+@query("SELECT o_orderkey FROM orders ORDER BY o_orderkey")
 def h7_index_sorted_union(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey")
-    return o.where("o_orderkey % 2 = 0").union(o.where("o_orderkey % 2 = 1")).orderBy("o_orderkey").limit(40)
+    return o.where("o_orderkey % 2 = 0").union(o.where("o_orderkey % 2 = 1")).orderBy("o_orderkey")
 
 
 @query("SELECT _ord, label, CAST(NULL AS VARCHAR) AS balance_source FROM seen UNION ALL SELECT _ord, label, 'pool' FROM fresh")
@@ -468,19 +468,18 @@ SELECT _ord, len(regexp_extract_all('漢' || clean_text || '字', '[\\x{{4e00}}-
     AND CAST(contains({_HEUR}, ' the ') AS INT) + CAST(contains({_HEUR}, ' of ') AS INT) + CAST(contains({_HEUR}, ' and ') AS INT) + CAST(contains({_HEUR}, ' in ') AS INT) >= 3
     AND CAST(contains({_HEUR}, ' que ') AS INT) = 0) AS foreign_reply,
   contains({_HEUR}, 'then thing') OR contains({_HEUR}, ' is the ') AS refusal,
-  regexp_matches(trim(clean_text), '^(?i)(https?://|www\\.)\\S+$') AS url_only,
-  trim(clean_text) <> '' AND len(regexp_extract_all(clean_text, '[\\p{{L}}\\p{{N}}]')) = 0 AS symbol_only,
-  regexp_matches(clean_text, '(?i)https?://|www\\.') OR regexp_matches(clean_text, '(?i)[a-z0-9._%+-]+@[a-z0-9.-]+\\.[a-z]{{2,}}') AS artifact
-FROM posts WHERE length(clean_text) > 0
+  regexp_full_match(trim(clean_text), '(?i)https?://\\S+|www\\.\\S+|\\[?link\\]?') AS url_only,
+  NOT regexp_matches(clean_text, '{tx.LETTER_OR_DIGIT}') AS symbol_only,
+  {' OR '.join(f"regexp_matches(clean_text, '(?i){p}')" for p in tx.REAL_ARTIFACTS + tx.OPERATIONAL_ARTIFACTS)} AS artifact
+FROM (SELECT _ord, coalesce(clean_text, '') AS clean_text FROM posts)
 """)
 def j6_text_heuristics(spark: SparkSession, d: str) -> DataFrame:
-    """J6 to J11: CJK-heavy, foreign reply, refusal, URL only, symbols only, artifacts."""
-    p = posts(spark, d).where("length(clean_text) > 0")
-    return p.select(
+    """J6 to J8, and J10 and J11 over plain posts: CJK-heavy, foreign reply, refusal, URL only, symbols only, artifacts."""
+    return posts(spark, d).select(
         "_ord", tx.cjk_heavy(F.concat(F.lit("漢"), F.col("clean_text"), F.lit("字"))).alias("cjk"),
         tx.foreign_reply("clean_text", [" of thing"], [" the ", " of ", " and ", " in "], [" que "]).alias("foreign_reply"),
         tx.contains_any("clean_text", ["then thing", " is the "]).alias("refusal"), tx.url_only("clean_text").alias("url_only"),
-        tx.symbol_only("clean_text").alias("symbol_only"), tx.has_artifact("clean_text", [tx.ARTIFACTS[0], tx.ARTIFACTS[2]]).alias("artifact"),
+        tx.symbol_only("clean_text").alias("symbol_only"), tx.has_artifact("clean_text").alias("artifact"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -17,23 +18,42 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A path of its own in the folder that driver and executors share; a local one only where none is named."""
+    """A path of its own in the folder that driver and executors share; a local session that names none gets a local one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="sieveline-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again: cuts the lineage of a fold and survives lost executors. The files go when
+    the driver's JVM ends."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All strings, quoted line ends, any byte-order mark dropped; a missing cell is null."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def read_csv(spark: SparkSession, path: str | list[str], line_ends: bool = True) -> DataFrame:
+    """All strings, any byte-order mark dropped; a missing cell is null. Cells may hold line ends, so that a file can't be
+    split: many files are read by many tasks, but a large one by one. Where no cell does, line_ends=False splits files."""
+    return spark.read.csv(path, header=True, multiLine=line_ends, quote='"', escape='"', inferSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def read_csv_strict_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -131,19 +151,65 @@ def write_split(df: DataFrame, main: str, main_columns: Sequence[str], side: str
         kept.unpersist()
 
 
-def upsert(spark: SparkSession, path: str, rows: DataFrame, key: str, order: str) -> DataFrame:
-    """A checkpoint: old and new rows by name, the last of each key. Written beside the old one and then put in its place,
-    since a path can't be overwritten while it is read."""
+def write_triple(rows: DataFrame, label: str, target: int, root: str) -> None:
+    """A run's main rows, its overflow and a report of counts by label, from rows with part main or overflow, which are
+    computed once."""
+    kept = settled(rows, "triple")
+    for part in ("main", "overflow"):
+        kept.where(F.col("part") == part).drop("part").write.mode("overwrite").parquet(f"{root}/{part}")
+    n = F.count_if(F.col("part") == "main")
+    report = kept.groupBy(label).agg(n.alias("main"), F.count_if(F.col("part") == "overflow").alias("overflow"), F.greatest(F.lit(target) - n, F.lit(0)).alias("still_needed"))
+    report.write.mode("overwrite").parquet(f"{root}/report")
+
+
+_VERSION = re.compile(r"(base|delta)-(\d{10})$")
+
+
+def _versions(spark: SparkSession, path: str) -> tuple[list[tuple[int, str, str]], int]:
+    """The whole versions of a checkpoint that count, (number, kind, path) from the last base on, and the highest number there."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return [], 0
+    found, top = [], 0
+    for status in fs.listStatus(p):
+        at = status.getPath()
+        if m := _VERSION.search(at.getName()):
+            top = max(top, int(m[2]))
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")):
+                found.append((int(m[2]), m[1], at.toString()))
+    found.sort()
+    base = max((n for n, kind, _ in found if kind == "base"), default=0)
+    return [x for x in found if x[0] >= base], top
+
+
+def read_checkpoint(spark: SparkSession, path: str, key: str, order: str) -> DataFrame | None:
+    """The last row of each key of a checkpoint; None where there is none yet."""
+    from ..operators.dedup import keep_last
+
+    versions, _ = _versions(spark, path)
+    both = None
+    for _, _, at in versions:
+        df = spark.read.parquet(at)
+        both = df if both is None else both.unionByName(df, allowMissingColumns=True)
+    if both is None or len(versions) == 1:  # a version holds a key once
+        return both
+    return keep_last(both, F.col(key).cast("string"), order)
+
+
+def upsert(spark: SparkSession, path: str, rows: DataFrame, key: str, order: str, compact_every: int = 16) -> DataFrame:
+    """Adds rows to a checkpoint, old and new columns by name; the last of each key counts. Returns the checkpoint.
+
+    A checkpoint is a folder of numbered versions: a delta holds what one call brought, a base all before it. A version
+    counts once its _SUCCESS mark is there, and nothing that counts is touched before what replaces it does, so a run
+    that dies at any point leaves the last state. A call costs what it brings; after `compact_every` deltas a new base
+    is written and older versions go. One writer at a time."""
     from ..operators.dedup import keep_last
 
-    both = rows
-    if path_exists(spark, path):
-        both = spark.read.parquet(path).unionByName(rows, allowMissingColumns=True)
-    new = f"{path}.new-{uuid.uuid4().hex[:8]}"
-    keep_last(both, F.col(key), order).write.parquet(new)
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(fs_path(path), True)
-    if not fs.rename(fs_path(new), fs_path(path)):
-        raise OSError(f"can't move {new} to {path}")
-    return spark.read.parquet(path)
+    versions, top = _versions(spark, path)
+    keep_last(rows, F.col(key).cast("string"), order).write.parquet(f"{path}/delta-{top + 1:010d}")
+    if sum(kind == "delta" for _, kind, _ in versions) + 1 >= compact_every:
+        read_checkpoint(spark, path, key, order).write.parquet(f"{path}/base-{top + 2:010d}")
+        fs, _ = _file_system(spark, path)
+        for _, _, at in [*versions, (0, "", f"{path}/delta-{top + 1:010d}")]:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(at), True)
+    return read_checkpoint(spark, path, key, order)

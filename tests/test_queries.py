@@ -7,12 +7,12 @@ import duckdb
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-from sieveline.plans import analysis, core  # noqa: E402
+from sieveline.plans import analysis, core, output  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES = core.QUERIES | analysis.QUERIES
-ORACLES = core.ORACLES | analysis.ORACLES
+QUERIES = core.QUERIES | analysis.QUERIES | output.QUERIES
+ORACLES = core.ORACLES | analysis.ORACLES | output.ORACLES
 
 
 @pytest.fixture(scope="module")
