@@ -8,6 +8,7 @@ import io
 import itertools
 import math
 import random
+import unicodedata
 import zipfile
 import zlib
 
@@ -405,6 +406,71 @@ def test_op10_held_out(spark):
     assert kept.columns == ["doc_id", "text", "lang", "lang_pred"] and kept.where("doc_id < 0").count() == 1 and kept.where("lang IS NULL").count() == 0
 
 
+def grams(text):
+    """The plain form: characters, lower-cased, all but letters and marks as blanks."""
+    c = [(x.lower() if len(x.lower()) == 1 else x) if unicodedata.category(x)[0] in "LM" else " " for x in text]
+    return {tuple(c[i : i + n]) for n in (1, 2, 3) for i in range(len(c) - n + 1)}
+
+
+def test_op10_is_the_plain_kernel(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(-1, "Съешь же ещё этих мягких булок", "ru"), (-2, "漢字とかな、また 漢字", "ja"), (-3, "İstanbul'da ŞİŞLİ", "tr")], "doc_id long, text string, lang string")
+    docs = docs.unionByName(extra).where("text IS NOT NULL")
+    rows = langid._sample(docs)
+    model = langid.fit(docs)
+    assert model.langs == sorted({x for x, _ in rows}) and {"ru", "ja", "tr"} <= set(model.langs)
+    code = lambda g: sum(ord(x) << 20 * k for k, x in enumerate(reversed(g))) | {1: 1 << 61, 2: 1 << 62, 3: 0}[len(g)]
+    vocab = set(model.vocab.tolist())
+    sets = [{code(g) for g in grams(t)} & vocab for _, t in rows]
+    df = collections.Counter(c for _, t in rows for c in {code(g) for g in grams(t)})
+    assert vocab <= set(df) and (len(vocab) == len(df) or len(vocab) >= 6144)
+    lang, turn, seen = np.array([model.langs.index(x) for x, _ in rows]), [], collections.Counter()
+    for x in lang:
+        turn.append(seen[x])
+        seen[x] += 1
+    chosen = sorted(range(len(rows)), key=lambda i: (turn[i], lang[i]))[: max(128, 2 * len(model.langs))]
+    kernel = lambda a, b: len(a & b) / math.sqrt(max(1, len(a)) * max(1, len(b)))
+    k_xm = np.array([[kernel(a, sets[m]) for m in chosen] for a in sets])
+    k_mm = k_xm[chosen]
+    # the same ridge problem, solved by least squares over stacked rows
+    value, vector = np.linalg.eigh(k_mm)
+    keep = value > 1e-6 * value.max()
+    z = k_xm @ vector[:, keep] / np.sqrt(value[keep])
+    w = np.array([1 / (lang == x).sum() for x in lang])
+    w /= w.mean()
+    y = np.where(lang[:, None] == np.arange(len(model.langs)), 1.0, -1.0)
+    zm, ym = np.average(z, 0, w), np.average(y, 0, w)
+    left = np.vstack([(z - zm) * np.sqrt(w)[:, None], np.sqrt(langid.RIDGE * len(z)) * np.eye(z.shape[1])])
+    right = np.vstack([(y - ym) * np.sqrt(w)[:, None], np.zeros((z.shape[1], y.shape[1]))])
+    want = (z - zm) @ np.linalg.lstsq(left, right, rcond=None)[0] + ym
+    assert np.abs(k_xm @ model.weights + model.bias - want).max() < 2e-3
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model, "doc_id").collect()}
+    for r in docs.collect():
+        g = {code(x) for x in grams(r["text"])} & vocab
+        out = np.array([kernel(g, sets[m]) for m in chosen]) @ model.weights + model.bias
+        top = np.sort(out)[::-1]
+        if any(unicodedata.category(c)[0] == "L" for c in r["text"]) and top[0] - top[1] > 1e-3:
+            assert got[r["doc_id"]][0] == model.langs[int(out.argmax())]
+            assert abs(got[r["doc_id"]][1] - min(1, 0.5 + (top[0] - top[1]) / 4)) < 1e-3
+
+
+def test_op10_learns_every_language(spark):
+    """450 languages, one of them in a single row of many copies, one in very long texts only."""
+    r = random.Random(4)
+    rows = []
+    for k in range(450):
+        words = ["".join(chr(0x400 + (k * 7 + r.randrange(40)) % 2000) for _ in range(4)) for _ in range(12)]
+        rows += [(k * 10 + j, " ".join(r.choice(words) for _ in range(30)), f"l{k:03d}") for j in range(3)]
+    rows += [(9000, "hot row of one language", "hot")] * 3000 + [(9001 + i, "lo ng " * 5000 + str(i), "long") for i in range(3)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = langid.fit(d)
+    assert len(model.langs) == 452 and len(model.landmarks) == 904 and len(model.vocab) > 6144
+    out = langid.predict(d.distinct(), model, "lang").collect()
+    assert sum(x["lang"] == x["lang_pred"] for x in out) / len(out) > 0.95
+    again = langid.fit(d.repartition(3))
+    assert (again.vocab == model.vocab).all() and again.langs == model.langs
+
+
 def test_op2_tree_paths(spark):
     rows = [("t", 1, None, 1.0, "user", "root"), ("t", 2, 1, 5.0, "assistant", "good <|im_end|> \\ [INST]"), ("t", 3, 1, 1.0, "assistant", "bad"), ("t", 4, 2, 2.0, "user", None), ("t", 5, 3, 1.0, "user", "leaf")]
     rows += [("o", 1, 99, 1.0, "us\ner", "orphan"), ("c", 1, 2, 1.0, "user", "cycle"), ("c", 2, 1, 1.0, "user", "cycle")]
