@@ -33,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import unused
 from ._spark import Work, keyed
 from ._units import LOWER, groups, mix, raw, signed, words
 
-#: Spaced seeds (fixed values): the contiguous one first, then three that ignore one to four words.
+#: Spaced seeds (fixed values): they ignore one to four words.
 MASKS = ("1111011", "111010011", "1101001011", "1100110101")
 SIMILARITY, MIN_WORDS, LEAST = 0.8, 12, 5
 BROADCAST_CHARS = 16_000_000
@@ -46,6 +47,8 @@ _PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = 32
 _COEF = np.random.default_rng(99).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 MATCH_SCHEMA = "doc_id long, item_id long, doc_start long, item_start long, n_words long, n_same long"
+KEY_SCHEMA = "k1 long, k2 long, i1 long, i2 long, doc_start long, item_start long, n_words long, n_same long"
+SALTS, DIAGONALS = 8, 4096
 
 
 #: Blocks whose letters are written without spaces: Thai and Lao, Burmese, Khmer, Tai scripts, Han, kana.
@@ -208,8 +211,8 @@ def _searched(ids: tuple, texts: tuple, similarity: float, min_words: int):
     return f
 
 
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=[x.split()[0] for x in MATCH_SCHEMA.split(", ")])
+def _packed(rows: list[tuple], schema: str = MATCH_SCHEMA) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
 
 
 def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,13 +249,13 @@ def _checked(similarity: float, min_words: int):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, item_id, text, item, diagonals in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "item_id", "text", "item", "diagonals")), strict=True):
+            for *key, text, item, diagonals in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "i1", "i2", "text", "item", "diagonals")), strict=True):
                 a, b = (tokens(*raw(pa.array([x])))[0] for x in (text, item))
                 found = [x for d in sorted(diagonals) if (x := overlap(a, b, d, similarity, min_words))]
                 if found:
-                    rows.append((doc_id, item_id, *max(found, key=lambda x: (x[2], -x[0]))))
+                    rows.append((*key, *max(found, key=lambda x: (x[2], -x[0]))))
             if rows:
-                yield _packed(rows)
+                yield _packed(rows, KEY_SCHEMA)
 
     return f
 
@@ -273,11 +276,20 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, m
     d = keyed(docs, "doc_id", "text")
     of_items = work.keep(i.mapInArrow(_seeded(masks, ("i1", "i2"), True), "i1 long, i2 long, at long, hash long"), "items")
     of_docs = d.mapInArrow(_seeded(masks, ("k1", "k2"), False), "k1 long, k2 long, at long, hash long")
-    hits = of_docs.join(of_items.withColumnRenamed("at", "q"), "hash").groupBy("k1", "k2", "i1", "i2").agg(F.collect_set(F.col("at") - F.col("q")).alias("diagonals"))
-    hits = work.keep(hits, "hits")
-    # hits are distinct by key; the joins bring back every row of either side, repeated ones too
-    full = hits.join(i.select("i1", "i2", "item_id", F.col("text").alias("item")), ["i1", "i2"]).join(d, ["k1", "k2"])
-    return full.select("doc_id", "item_id", "text", "item", "diagonals").mapInArrow(_checked(similarity, min_words), MATCH_SCHEMA)
+    # a seed that very many documents hold is dealt to SALTS tasks, each with its own copy of the items' seeds
+    salted = of_items.select("i1", "i2", F.col("at").alias("q"), "hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    met = of_docs.withColumn("salt", F.pmod(F.xxhash64("k1", "k2", "at"), F.lit(SALTS)).cast("int")).join(salted, ["hash", "salt"])
+    met = met.select("k1", "k2", "i1", "i2", (F.col("at") - F.col("q")).alias("diagonal")).distinct()
+    # diagonals travel in stretches of DIAGONALS, so that no list grows with a text that repeats itself
+    hits = met.groupBy("k1", "k2", "i1", "i2", F.floor(F.col("diagonal") / DIAGONALS).alias("stretch")).agg(F.collect_list("diagonal").alias("diagonals"))
+    hits = work.keep(hits.drop("stretch"), "hits")
+    one_item = i.select("i1", "i2", F.col("text").alias("item")).dropDuplicates(["i1", "i2"])
+    full = hits.join(one_item, ["i1", "i2"]).join(d.select("k1", "k2", "text").dropDuplicates(["k1", "k2"]), ["k1", "k2"])
+    found = full.select("k1", "k2", "i1", "i2", "text", "item", "diagonals").mapInArrow(_checked(similarity, min_words), KEY_SCHEMA)
+    # the longest, the first on ties; then every row of either side comes back, repeated ones too
+    best = found.groupBy("k1", "k2", "i1", "i2").agg(F.max(F.struct("n_words", (-F.col("doc_start")).alias("minus"), (-F.col("item_start")).alias("less"), "n_same")).alias("b"))
+    both = best.join(i.select("i1", "i2", "item_id"), ["i1", "i2"]).join(d.select("k1", "k2", "doc_id"), ["k1", "k2"])
+    return both.select("doc_id", "item_id", (-F.col("b.minus")).alias("doc_start"), (-F.col("b.less")).alias("item_start"), "b.n_words", "b.n_same")
 
 
 def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
@@ -285,6 +297,7 @@ def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, min
     m = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k1"), F.xxhash64("text").alias("k2"), "text")
     # the key travels as id through matches, so that null and repeated ids stay apart
     marked = m.select(F.xxhash64("k1", "k2").alias("doc_id"), "text")
-    bad = matches(marked, items, similarity, min_words).select(F.col("doc_id").alias("__key")).distinct()
-    keyed_docs = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64("text")))
-    return keyed_docs.join(bad, "__key", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    (key,) = unused(docs, "row_key")
+    bad = matches(marked, items, similarity, min_words).select(F.col("doc_id").alias(key)).distinct()
+    keyed_docs = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64("text")))
+    return keyed_docs.join(bad, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
