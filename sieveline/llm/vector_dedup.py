@@ -5,8 +5,8 @@ them make a table's key, and L tables are looked up. k follows log n (the number
 constant), and L the chance that a pair at the very threshold meets in one table, so that `recall` of such pairs is
 reached; closer pairs are found more surely. Vectors that share a bucket are compared by exact cosine in double precision.
 
-Equal vectors are one node with a count. Buckets over `BLOCK` nodes are cut into pairs of blocks, compared as matrix
-products, so none is capped. A pair counts in the first table in which it meets; what leaves a task is a count and a root
+Equal vectors are one node with a count. Where the same nodes share a bucket in several tables, the first
+counts. Buckets over `BLOCK` nodes are cut into pairs of blocks, compared as matrix products, so none is capped. A pair counts in the first table in which it meets; what leaves a task is a count and a root
 a node, never the pairs.
 
 Defined results: vectors that are null or empty, have a null or non-finite component or no length link with nothing, are
@@ -165,10 +165,14 @@ def report(embeddings: DataFrame, cosine: float = COSINE, recall: float = RECALL
     nodes = work.keep(e.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("mult"), F.first("vec").alias("vec"), F.min("vec_id").alias("least")), "nodes")
     k, tables = parameters(nodes.count(), cosine, recall)
     hashed = work.keep(nodes.select("node", "vec").mapInArrow(_hashed(k, tables), "node long, t int, key long"), "keys")
-    shared = hashed.groupBy("t", "key").agg(F.count("*").alias("m")).where("m > 1")
-    meets = hashed.join(shared, ["t", "key"])
+    # of the tables in which the same vectors share a bucket, the first; only ids travel until then
+    sign = (F.bit_xor(F.xxhash64("node")).alias("s1"), F.bit_xor(F.xxhash64(F.lit("second"), "node")).alias("s2"))
+    shared = work.keep(hashed.groupBy("t", "key").agg(F.count("*").alias("m"), *sign).where("m > 1"), "shared")
+    once = shared.groupBy("m", "s1", "s2").agg(F.min("t").alias("t"))
+    shared = shared.join(once, ["m", "s1", "s2", "t"]).select("t", "key", "m")
+    meets = work.keep(hashed.join(shared, ["t", "key"]), "meets")
     rows = blocked(meets, "m", BLOCK, "node", "t", "key").join(nodes.select("node", "mult", "vec"), "node").select("task", "side", "t", "node", "mult", "vec")
-    n = parts_for(spark, hashed.count() * 0.2, 20_000)
+    n = parts_for(spark, meets.count(), 20_000)
     found = rows.repartition(n, "task").sortWithinPartitions("task").mapInArrow(_compared(k, tables, cosine), "node long, root long, links long")
     found = work.keep(found, "found")
     comp = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), work)
