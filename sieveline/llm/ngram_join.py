@@ -7,8 +7,8 @@ searched by brute force. Runs are repeated until a pair at the threshold is foun
 
 Brute force has two steps, both inside a bucket: sketches (the least values of all runs) part the bucket into groups that
 can hold a pair, then whole sets are intersected, as a product of incidence matrices. A group that holds the same sets as
-one of an earlier run is dropped, and a pair counts in the first run whose path it shares. Buckets over `BLOCK` sets are
-cut into pairs of blocks, so nothing is capped; a task gives a count and a root a set, never its pairs.
+one of an earlier run is dropped, and a pair counts in the first run whose path it shares. Buckets over `BLOCK` sets, or of
+long sets, are cut into pairs of blocks, so nothing is capped; a task gives a count and a root a set, never its pairs.
 
 Documents with equal shingle sets are one set with a count. Whole texts are used; words are runs of signs other than white
 space, unchanged. A text of one to four words is one shingle, a text without words has no set.
@@ -28,12 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import row_lot, unused
 from ._graph import blocked, components, local_roots, whole_groups
 from ._spark import Work, keyed, parts_for
 from ._units import PIECE, Prefix, groups, mix, raw, signed, words
 
 WORDS, JACCARD, RECALL = 5, 0.8, 0.9995
 SPLIT, DEPTH, BLOCK, SEED = 48, 3, 512, 4242
+#: Shingles of a set in a full block, on average; a bucket of longer sets is cut into more blocks.
+SET_SIZE = 8192
 
 
 def n_runs(jaccard: float, recall: float) -> int:
@@ -204,24 +207,24 @@ def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: f
     size = runs * DEPTH
     d = keyed(docs, "doc_id", "text")
     every = work.keep(d.mapInArrow(_sketched(k, size), "k1 long, k2 long, doc_id long, n int, node long, mins array<int>"), "sketches")
-    nodes = every.where("n > 0").groupBy("node").agg(F.count("*").alias("mult"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "k1", "k2")).alias("rep"), F.min("doc_id").alias("least"), F.first("mins").alias("mins"))
+    nodes = every.where("n > 0").groupBy("node").agg(F.count("*").alias("mult"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "k1", "k2")).alias("rep"), F.min("doc_id").alias("least"), F.first("mins").alias("mins"), F.first("n").alias("n"))
     nodes = work.keep(nodes, "nodes")
 
     # paths: split by a sampled token, and buckets that are still large by the next one
     steps = [F.col("mins")[F.col("r") * DEPTH + i].alias(f"m{i}") for i in range(DEPTH)]
-    open_ = nodes.select("node", "mins", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("r")).select("node", "r", *steps)
+    open_ = nodes.select("node", "mins", "n", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("r")).select("node", "r", "n", *steps)
     open_ = open_.withColumn("leaf", F.xxhash64("r", "m0"))
     leaves, levels = None, []
     for i in range(DEPTH):
-        m = open_.groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1")
+        m = open_.groupBy("leaf").agg(F.count("*").alias("m"), F.ceil(F.sum("n") / SET_SIZE).cast("long").alias("weight")).where("m > 1")
         met = open_.join(m, "leaf")
         last = i == DEPTH - 1
         met = work.keep(met, f"level{i}")
         levels.append(met)
-        ends = (met if last else met.where(F.col("m") <= SPLIT)).select("node", "r", "leaf", "m")
+        ends = (met if last else met.where(F.col("m") <= SPLIT)).select("node", "r", "leaf", F.greatest("m", F.least(F.col("weight"), F.col("m") * BLOCK)).alias("m"))
         leaves = ends if leaves is None else leaves.unionByName(ends)
         if not last:
-            open_ = met.where(F.col("m") > SPLIT).drop("m").withColumn("leaf", F.xxhash64("leaf", f"m{i + 1}"))
+            open_ = met.where(F.col("m") > SPLIT).drop("m", "weight").withColumn("leaf", F.xxhash64("leaf", f"m{i + 1}"))
 
     # groups that can hold a pair; of groups with the same sets, the one of the first run
     rows = blocked(leaves, "m", BLOCK, "node", "leaf").join(nodes.select("node", "mins"), "node").select("task", "side", "r", "node", "mins")
@@ -265,11 +268,13 @@ def report(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: fl
 
 def one_each(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: float = RECALL) -> DataFrame:
     """docs with one document of each class, that with the least doc_id; every text without words stays."""
-    named = docs.withColumns({"__k1": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "__k2": F.xxhash64("text")})
+    k1, k2, lot = unused(docs, "k1", "k2", "lot")
+    named = docs.withColumns({k1: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), k2: F.xxhash64("text")})
     c = classes(docs, k, jaccard, recall)
-    gone = c.where(~F.struct("k1", "k2").eqNullSafe(F.col("first"))).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
-    left = named.join(gone, ["__k1", "__k2"], "left_anti")
-    # rows that repeat id and text are copies too
+    gone = c.where(~F.struct("k1", "k2").eqNullSafe(F.col("first"))).select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct()
+    left = named.join(gone, [k1, k2], "left_anti")
+    # rows that repeat id and text are copies too; which stays is decided by a hash of all columns
     blank = F.coalesce(F.col("text"), F.lit("")).rlike(r"^[ \t\n\x0b\f\r]*$")
     cols = [f"`{c}`" for c in docs.columns]
-    return left.where(~blank).dropDuplicates(["__k1", "__k2"]).select(*cols).unionByName(left.where(blank).select(*cols))
+    one = left.where(~blank).withColumn(lot, row_lot(docs)).groupBy(k1, k2).agg(*[F.min_by(c, lot).alias(c.strip("`")) for c in cols])
+    return one.select(*cols).unionByName(left.where(blank).select(*cols))
