@@ -35,9 +35,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import Work, parts_for
+from ._spark import MIN_LONG, Work, parts_for
 
-PACKAGE_BYTES = 48 << 20
+PACKAGE_BYTES, REQUEST = 48 << 20, 4 << 20
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
@@ -193,12 +193,34 @@ class Package:
         return [(x["offset"], x["length"]) for x in map(json.loads, filter(None, lines))]
 
     def records(self) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
-        for offset, length in self.index():
-            yield parse_record(gzip.decompress(self.range(DATA, offset, length)))
+        """Neighbouring ranges are read together, REQUEST bytes at a time."""
+        todo = self.index()
+        i = 0
+        while i < len(todo):
+            begin, end = todo[i][0], sum(todo[i])
+            j = i + 1
+            while j < len(todo) and todo[j][0] == end and sum(todo[j]) - begin <= REQUEST:
+                end = sum(todo[j])
+                j += 1
+            data = self.range(DATA, begin, end - begin)
+            for offset, length in todo[i:j]:
+                yield parse_record(gzip.decompress(data[offset - begin : offset - begin + length]))
+            i = j
+
+
+def arrow_uri(folder: str) -> str:
+    """A Hadoop path as the URI by which pyarrow opens the same place."""
+    if "://" not in folder:
+        return "file://" + folder.removeprefix("file:")
+    scheme, rest = folder.split("://", 1)
+    scheme = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}.get(scheme, scheme)
+    if scheme in ("abfs", "abfss"):
+        rest = rest.replace(".blob.core.", ".dfs.core.", 1)
+    return f"{scheme}://{rest}"
 
 
 def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
+    return fs.FileSystem.from_uri(arrow_uri(folder))
 
 
 def _writer(folder: str, zip64: bool):
@@ -275,8 +297,11 @@ def write(pages: DataFrame, work: Work, min_bytes: int = 0, zip64: bool = False)
     sums = p.select("page_id", F.sha1(html.cast("binary")).alias("sha"), F.octet_length(html).alias("size")).where(F.col("size") >= min_bytes)
     twice = sums.groupBy("sha").agg(F.count("*").alias("n"), F.max("page_id").alias("last")).where("n > 1").select("sha", "last")
     twice = work.keep(twice, "equal")
-    p = p.withColumn("sha", F.when(F.octet_length("html") >= min_bytes, F.sha1(F.col("html").cast("binary"))))
-    marked = p.join(twice, "sha", "left").withColumn("ref", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")))
+    # who refers to whom is found over narrow rows; payloads then meet it by page and digest, so that a common one spreads
+    p = p.withColumns({"pid": F.coalesce("page_id", F.lit(MIN_LONG)), "sha": F.sha1(F.col("html").cast("binary"))})
+    refs = sums.join(twice, "sha").where(~F.col("page_id").eqNullSafe(F.col("last")))
+    refs = refs.select(F.coalesce("page_id", F.lit(MIN_LONG)).alias("pid"), "sha", F.col("last").alias("ref")).distinct()
+    marked = p.join(work.keep(refs, "refers"), ["pid", "sha"], "left")
     folder = f"{work.root}/packages"
     manifest = work.keep(marked.select("page_id", "url", "html", "ref").mapInArrow(_writer(folder, zip64), "path string, n long"), "manifest")
     return manifest, folder
