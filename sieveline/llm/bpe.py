@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
@@ -132,7 +133,11 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def _pattern(pattern: str) -> regex.Pattern:
-    return regex.compile(pattern.replace(r"[^\s", rf"[^{SPACE}").replace(r"\s", SPACE).replace(r"(?!\S)", r"(?!\P{White_Space})"))
+    """The pattern with white space as Unicode has it; every part that depends on it must be one of the three known ones."""
+    out = pattern.replace(r"[^\s", rf"[^{SPACE}").replace(r"\s", SPACE).replace(r"(?!\S)", r"(?!\P{White_Space})")
+    if re.search(r"\\[sSwWdDbBhHvR]", out):
+        raise ValueError(f"a class that isn't known here: {pattern}")
+    return regex.compile(out)
 
 
 class Encoder:

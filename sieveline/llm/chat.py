@@ -50,20 +50,21 @@ def paths(nodes: DataFrame, work: Work, top: int = 1) -> DataFrame:
     s = nodes.select("tree", "node", F.col("parent").alias("hop"), F.lit(1).cast("long").alias("dist"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total"))
     known = nodes.select("tree", F.col("node").alias("hop"), F.lit(True).alias("there"))
     s = s.join(known, ["tree", "hop"], "left").withColumn("hop", F.when(F.col("there"), F.col("hop"))).drop("there")
+    # a step writes only messages that weren't at their root before it; what has got there is done
     jumps = [work.keep(s, "jump0")]
+    done = jumps[0].where("hop IS NULL")
     most = jumps[0].count()
     for k in range(max(1, most).bit_length() + 1):
-        last = jumps[-1]
-        if last.where("hop IS NOT NULL").isEmpty():
+        open_ = jumps[-1].where("hop IS NOT NULL")
+        if open_.isEmpty():
             break
-        up = last.select("tree", F.col("node").alias("hop"), F.col("hop").alias("far"), F.col("dist").alias("d2"), F.col("total").alias("t2"))
-        # only messages that aren't at their root yet take part; the others are done
-        further = last.where("hop IS NOT NULL").join(up, ["tree", "hop"], "left").select(
+        up = done.unionByName(open_).select("tree", F.col("node").alias("hop"), F.col("hop").alias("far"), F.col("dist").alias("d2"), F.col("total").alias("t2"))
+        further = open_.join(up, ["tree", "hop"], "left").select(
             "tree", "node", F.col("far").alias("hop"), (F.col("dist") + F.coalesce("d2", F.lit(0))).alias("dist"), (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total")
         )
-        nxt = last.where("hop IS NULL").unionByName(further)
-        jumps.append(work.keep(nxt, f"jump{k + 1}"))
-    rooted = jumps[-1].where("hop IS NULL").withColumn("score", F.col("total") / F.col("dist"))
+        jumps.append(work.keep(further, f"jump{k + 1}"))
+        done = done.unionByName(jumps[-1].where("hop IS NULL"))
+    rooted = done.withColumn("score", F.col("total") / F.col("dist"))
     parents = nodes.where("parent IS NOT NULL").select("tree", F.col("parent").alias("node"))
     leaves = rooted.join(parents, ["tree", "node"], "left_anti")
     if top == 1:  # one value a tree, combined before the shuffle
