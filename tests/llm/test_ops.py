@@ -175,6 +175,38 @@ def test_op4_links(spark):
     assert sorted(kept) == sorted(classes | {900, 901})
 
 
+def test_op4_recall_at_the_threshold(spark):
+    """Pairs at a Jaccard similarity of just 0.8 and more."""
+    r = random.Random(9)
+    rows, found = [], 0
+    for k in range(300):
+        words = [f"p{k}w{i}" for i in range(104)]  # 100 shingles
+        other = words.copy()
+        for _ in range(2):  # 5 or 10 of them gone: 90 shared of 110, or 95 of 105
+            other[r.choice(range(10, 94))] = "changed"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    sets = {i: shingle(t) for i, t in rows}
+    near = [k for k in range(300) if 10 * len(sets[2 * k] & sets[2 * k + 1]) >= 8 * len(sets[2 * k] | sets[2 * k + 1])]
+    got = {x["doc_id"]: x["n_links"] for x in ngram_join.report(spark.createDataFrame(rows, DOC)).collect()}
+    found = sum(got[2 * k] == 1 for k in near)
+    assert len(near) > 250 and found / len(near) >= 0.98
+    assert all(got[i] == 0 for i in got if i // 2 not in near)
+
+
+def test_op4_long_sets_are_cut_by_size(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SET_SIZE", 16)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(12)] + [(50 + i, " ".join(base[:20] + [f"y{i}"] * 3)) for i in range(9)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.report(spark.createDataFrame(rows, DOC)).collect()}
+    assert {got[i] for i in range(12)} == {(0, 11)}
+
+
+def test_op4_one_of_equal_rows_is_always_the_same(spark):
+    df = spark.createDataFrame([(1, "a b c", i) for i in range(20)] + [(2, None, 7)], "doc_id long, text string, k1 int")
+    kept = {tuple(sorted(tuple(map(str, r)) for r in ngram_join.one_each(df.repartition(n, "k1")).collect())) for n in (1, 3, 7)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
+
+
 def test_op4_large_buckets_are_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
     monkeypatch.setattr(ngram_join, "SPLIT", 4)
@@ -219,6 +251,19 @@ def test_op9_links(spark, monkeypatch):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in vector_dedup.report(df).collect())
 
 
+def test_op9_recall_of_the_query(spark):
+    """Links found by the query's own parameters, against brute force; none that isn't there."""
+    g = np.random.default_rng(6)
+    centre = g.standard_normal((250, 24))
+    rows = [(i * 8 + j, (c + 0.3 * g.standard_normal(24)).astype(np.float32).tolist()) for i, c in enumerate(centre) for j in range(8)]
+    unit = np.array([v for _, v in rows], np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in vector_dedup.report(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    links = np.array([got[i] for i, _ in rows])
+    assert (links <= want).all() and links.sum() / want.sum() >= 0.98 and want.sum() > 2000
+
+
 def test_op9_recall_at_the_threshold():
     g = np.random.default_rng(5)
     a = g.standard_normal((800, 64))
@@ -286,6 +331,12 @@ def test_op6_packages_are_zip_and_read_back(spark):
         assert gzip.decompress(z.read(warc.DATA)).count(b"WARC/1.1\r\n") == 4
         got = list(warc.Package(lambda at, n, data=data: data[at : at + n], len(data)).records())
         assert [len(x[2]) for x in got] == [0, 2, 4, 6] and got[0][0]["warc-type"] == "revisit"
+        asked = []
+        package = warc.Package(lambda at, n, data=data, asked=asked: asked.append((at, n)) or data[at : at + n], len(data))
+        before = len(asked)
+        assert len([*package.records()]) == 4 and len(asked) - before == 2  # the index and one stretch of records
+    assert [warc.arrow_uri(x) for x in ("file:/a", "/a", "file:///a", "s3a://b/c", "wasbs://k@acc.blob.core.windows.net/p", "gs://b/c", "hdfs://h:1/p")] == [
+        "file:///a", "file:///a", "file:///a", "s3://b/c", "abfss://k@acc.dfs.core.windows.net/p", "gs://b/c", "hdfs://h:1/p"]
     with pytest.raises(ValueError, match="ZIP"):
         warc.Package(lambda at, n: b"x" * n, 100)
     rows = [(1, "http://a", "same"), (2, None, "same"), (3, "http://c", None), (4, "u", ""), (5, "u", "né\r\n\r\n"), (5, "u", "né\r\n\r\n"), (None, "u", "same"), (None, "v", "alone")]
@@ -383,6 +434,37 @@ def test_op8_repeated_rows_in_both_ways(spark):
         assert collections.Counter((x["doc_id"], x["item_id"]) for x in decontaminate.matches(df, it, broadcast_chars=limit).collect()) == want
 
 
+def test_op8_recall_by_item_length():
+    """Items of 5 to 30 words with random substitutions that similarity 0.8 admits, against brute force over all pairs."""
+    r = random.Random(11)
+    for n in range(5, 31):
+        items = [" ".join(f"i{n}k{k}w{j}" for j in range(n)) for k in range(3)]
+        at = decontaminate.Items([0, 1, 2], items)
+        met = tried = 0
+        for _ in range(150):
+            k, gone = r.randrange(3), set(r.sample(range(n), n // 5))
+            text = "a b " + " ".join("other" if j in gone else w for j, w in enumerate(items[k].split())) + " c"
+            values, first = decontaminate.tokens(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+            brute = [i for i in range(3) if any(decontaminate.overlap(values, at.values[at.first[i] : at.first[i + 1]], d, 0.8, 12) for d in range(-n, len(values)))]
+            assert brute == [k]
+            tried += 1
+            met += any(i == k and decontaminate.overlap(values, at.values[at.first[k] : at.first[k + 1]], d, 0.8, 12) is not None for _, i, d in zip(*(x.tolist() for x in at.hits(values, first)), strict=True))
+        assert met / tried >= (1 if n < 12 else 0.97), n
+
+
+def test_op8_texts_that_repeat_themselves(spark, monkeypatch):
+    """Very many diagonals in both ways; very long texts; the columns of helpers in the input."""
+    monkeypatch.setattr(decontaminate, "DIAGONALS", 16)
+    period = " ".join(["tick tock boom"] * 4000)
+    item = " ".join(["tick tock boom"] * 6)
+    df = spark.createDataFrame([(1, period), (2, "word " * 50_000 + item), (3, "word " * 100)], DOC).withColumns({c: F.lit("x") for c in ("row_key", "k1", "i1", "diagonals")})
+    it = spark.createDataFrame([(7, item), (8, "no such words are in any of these texts at all ok")], "item_id long, text string")
+    a, b = ([tuple(x) for x in decontaminate.matches(df, it, broadcast_chars=n).collect()] for n in (decontaminate.BROADCAST_CHARS, 0))
+    assert sorted(a) == sorted(b) == [(1, 7, 0, 0, 18, 18), (2, 7, 49_997, 0, 18, 15)]
+    out = decontaminate.clean(df, it)
+    assert out.columns == df.columns and [tuple(r)[2:] for r in out.collect()] == [("x",) * 4]
+
+
 def test_op8_overlap_is_the_longest():
     r = random.Random(0)
     for _ in range(300):
