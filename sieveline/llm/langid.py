@@ -99,12 +99,28 @@ class Model:
 
 
 class Lookup:
-    """From a code to its place in the vocabulary, from 1 on; 0 for none. Codes that share a slot stand in a second table."""
+    """The n-grams at every character of a text, as places in the vocabulary from 1 on; 0 for none.
+
+    Vocabularies of up to 255 characters have a table by three bytes, a character being one; others are looked up by a
+    hash, codes that share a slot in a further table."""
 
     def __init__(self, vocab: np.ndarray):
         self.vocab = np.concatenate([[-1], vocab])
-        left = np.arange(1, len(self.vocab))
+        size = np.where(vocab >> 62 & 1, 2, np.where(vocab >> 61 & 1, 1, 3))
+        part = [np.where(size > k, vocab >> 20 * k & 0xFFFFF, 0) for k in range(3)]  # the last character first
+        used = np.unique(np.concatenate(part))
+        used = used[used > 0]
+        self.narrow = len(used) < 256
         self.tables: list[tuple[np.uint64, np.ndarray]] = []
+        if self.narrow:
+            own = np.zeros(_END, np.int32)
+            own[used] = np.arange(1, len(used) + 1)
+            self.byte = own[_classes()]
+            self.table = np.zeros((1 << 25) + 256, np.int16 if len(vocab) < 1 << 15 else np.int32)
+            code = own[part[0]] | own[part[1]] << 8 | own[part[2]] << 16 | (size == 2) << 24 | (size == 1) << 25
+            self.table[code] = np.arange(1, len(vocab) + 1)
+            return
+        left = np.arange(1, len(self.vocab))
         salt = 0
         while len(left):
             salt += 1
@@ -120,7 +136,7 @@ class Lookup:
         h = (codes.view(np.uint64) + salt) * np.uint64(0x9E3779B97F4A7C15)
         return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - _SLOTS)
 
-    def __call__(self, codes: np.ndarray) -> np.ndarray:
+    def _place(self, codes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(codes), np.int32)
         for salt, table in self.tables:
             at = table[self._slot(codes, salt)]
@@ -130,6 +146,16 @@ class Lookup:
             out[hit[same]] = at[same]
         return out
 
+    def __call__(self, chars: np.ndarray) -> list[np.ndarray]:
+        """Places of the 1-, 2- and 3-grams at every character."""
+        if not self.narrow:
+            return [self._place(c) for c in _codes(chars)]
+        b = self.byte[chars]
+        two = b[:-1] << 8 | b[1:]
+        three = two[:-1] << 8 | b[2:]
+        # a character outside the vocabulary is byte 0, so that its n-grams have codes that no entry has
+        return [self.table[b | 1 << 25], self.table[two | 1 << 24], self.table[three]]
+
 
 @lru_cache(1)
 def _prepared(vocab: bytes, landmarks: bytes, m: int) -> tuple[Lookup, np.ndarray]:
@@ -144,11 +170,12 @@ def presences(chars: np.ndarray, offs: np.ndarray, lookup: Lookup, size: int) ->
     out = np.zeros((len(offs) - 1, size + 1), np.float32)
     flat = out.reshape(-1)
     for a in range(0, max(1, len(chars)), PIECE):
-        for n, codes in enumerate(_codes(chars[a : a + PIECE + 2]), 1):
-            at = np.arange(a, a + len(codes))
-            row = np.searchsorted(offs, at, "right") - 1
-            inside = at + n <= offs[row + 1]
-            flat[row[inside] * (size + 1) + lookup(codes[inside])] = 1
+        part = chars[a : a + PIECE + 2]
+        row = np.searchsorted(offs, np.arange(a, a + len(part)), "right") - 1
+        left = offs[row + 1] - np.arange(a, a + len(part))  # characters to the row's end
+        row *= size + 1
+        for n, places in enumerate(lookup(part), 1):
+            flat[(row[: len(places)] + places)[left[: len(places)] >= n]] = 1
     return out[:, 1:]
 
 

@@ -536,6 +536,21 @@ def test_op10_is_the_plain_kernel(spark):
             assert abs(got[r["doc_id"]][1] - min(1, 0.5 + (top[0] - top[1]) / 4)) < 1e-3
 
 
+def test_op10_lookups_agree():
+    text = "The quick brown fox, élan Ünïcode ŞİŞLİ 漢字 мир " * 3
+    chars, _ = langid.points(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    assert chars.tolist() == [ord(c) for c in text]
+    codes = np.unique(np.concatenate(langid._codes(chars[:100])))[::2]
+    narrow, wide = langid.Lookup(codes), langid.Lookup(codes)
+    wide.narrow, left = False, np.arange(1, len(codes) + 1)
+    wide.tables = [(np.uint64(1), np.zeros(1 << langid._SLOTS, np.int32)), (np.uint64(2), np.zeros(1 << langid._SLOTS, np.int32))]
+    for k, i in enumerate(left):  # every second one in the second table
+        wide.tables[k % 2][1][wide._slot(codes[k : k + 1], np.uint64(k % 2 + 1))] = i
+    place = {c: i + 1 for i, c in enumerate(codes.tolist())}
+    want = [[place.get(c, 0) for c in part.tolist()] for part in langid._codes(chars)]
+    assert narrow.narrow and [x.tolist() for x in narrow(chars)] == want == [x.tolist() for x in wide(chars)]
+
+
 def test_op10_learns_every_language(spark):
     """450 languages, one of them in a single row of many copies, one in very long texts only."""
     r = random.Random(4)
