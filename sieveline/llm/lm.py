@@ -9,7 +9,9 @@ that what reaches the driver has a fixed bound and still counts every event.
 Counting is exact and grows with the corpus. Documents are packed into chunks of about `CHUNK` bytes, written once. Each
 chunk sends its distinct word and word-pair fingerprints with their counts, sorted, as differences and compressed, to
 buckets by fingerprint (a pair that is everywhere comes once a chunk); a bucket adds up and answers each chunk with the
-totals in the same order. Texts move once, compressed, to meet the answers.
+totals in the same order. Texts move once, compressed, to meet the answers. From `GROUP` chunks on the exchange has two levels, so
+that a row stays some hundreds of fingerprints at any size: chunks send to `GROUP` coarse buckets, those of one group of chunks are
+merged there and go on to fine buckets, and the totals come back the same way.
 
 Tokens: A-Z lower-cased; words are runs of signs other than white space, and one end a text.
 
@@ -35,6 +37,8 @@ from ._units import LOWER, mix, raw, words
 
 CHUNK = 8 << 20
 BUCKET_BYTES = 8 << 20
+#: Chunks of a group, and coarse buckets; a group's counts must fit 32 bits.
+GROUP = 512
 CONTEXTS, STEPS, ROUNDS = 24, 8, 60
 END, START = np.uint64(0x5F3759DF5F3759DF), np.uint64(0x0B4711D00DFEED01)
 HELD, DELETED, TRAIN = 0, 1, 2
@@ -155,8 +159,7 @@ def _answered(bits: int):
                     n[0], v[0], d[0] = total[real].sum(), (total[real] > 0).sum(), gone[real].sum()
                 out = []
                 for x in np.split(inverse, ends[:-1]):
-                    planes = np.stack([total[x], gone[x]]).astype(np.uint64).view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1)
-                    out.append(zstandard.ZstdCompressor(level=1).compress(planes.tobytes()))
+                    out.append(_answer(np.stack([total[x], gone[x]])))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(chunk[a:b]), pa.array(kind[a:b]), pa.array(bucket[a:b]), pa.array(out, pa.binary()), pa.array(n), pa.array(v), pa.array(d)], names=["chunk", "kind", "bucket", "blob", "n", "v", "d"]
                 )
@@ -164,6 +167,59 @@ def _answered(bits: int):
     return f
 
 
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(inverse, weights=np.concatenate([c for _, c in parts]), minlength=len(keys)).astype(np.int64)
+
+
+def _merged(bits: int, fine: int, word_fine: int):
+    """The rows of one group of chunks and one coarse bucket, as one for each fine bucket and kind; `part` takes the place of
+    the chunk."""
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, first in whole_groups(batches, "part"):
+            part, bucket, kind = (table.column(c).to_numpy() for c in ("part", "bucket", "kind"))
+            blobs = table.column("blob").combine_chunks()
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                n, base = (word_fine, 1 << fine) if bucket[a] >= 1 << bits else (fine, 0)
+                rows: list[tuple] = []
+                for k in np.unique(kind[a:b]).tolist():
+                    keys, counts = _merge([_unpack(blobs[i].as_py()) for i in range(a, b) if kind[i] == k])
+                    to = (keys >> np.uint64(64 - n)).astype(np.int64) if n else np.zeros(len(keys), np.int64)
+                    cut = np.concatenate([[0], np.flatnonzero(np.diff(to)) + 1, [len(to)]])
+                    rows += [(part[a], k, base + int(to[lo]), _pack(keys[lo:hi], counts[lo:hi])) for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["chunk", "kind", "bucket", "blob"])
+
+    return f
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the rows of a part (answered -1) and the answers to it, sorted by fine bucket, the answer to each chunk."""
+    for table, first in whole_groups(batches, "part"):
+        chunk, kind, bucket, answered = (table.column(c).to_numpy() for c in ("chunk", "kind", "bucket", "answered"))
+        blobs = table.column("blob").combine_chunks()
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            cut = a + int(np.searchsorted(answered[a:b], 0))
+            own = [_unpack(blobs[i].as_py())[0] for i in range(a, cut)]
+            rows: list[tuple] = []
+            for k in np.unique(kind[a:cut]).tolist():
+                of = [i for i in range(a, cut) if kind[i] == k]
+                keys = np.unique(np.concatenate([own[i - a] for i in of]))
+                totals = np.concatenate([_planes(blobs[i].as_py()) for i in range(cut, b) if kind[i] == k], 1)
+                rows += [(chunk[i], k, bucket[i], _answer(totals[:, np.searchsorted(keys, own[i - a])])) for i in of]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["chunk", "kind", "bucket", "blob"])
+
+
+def _answer(totals: np.ndarray) -> bytes:
+    """Two rows of totals, byte by byte, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(totals, np.int64).view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes())
+
+
+def _planes(blob: bytes) -> np.ndarray:
+    got = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return got.reshape(2, 8, -1).transpose(0, 2, 1).copy().view(np.uint64).reshape(2, -1)
+
+
 def _met(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple]:
     """(ids, flags, tokens, totals and deleted counts of words, of pairs) of each chunk, from rows sorted by (chunk, bucket)."""
     for table, first in whole_groups(batches, "chunk"):
@@ -174,8 +230,7 @@ def _met(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple]:
             t = Tokens(col["blob"][a].as_py(), col["lens"][a].as_py(), flags)
 
             def totals(lo: int, hi: int) -> np.ndarray:
-                got = [np.frombuffer(zstandard.ZstdDecompressor().decompress(col["blob"][i].as_py()), np.uint8) for i in range(lo, hi)]  # noqa: B023
-                return np.concatenate([x.reshape(2, 8, -1).transpose(0, 2, 1).copy().view(np.uint64).reshape(2, -1) for x in got], 1).astype(np.int64)
+                return np.concatenate([_planes(col["blob"][i].as_py()) for i in range(lo, hi)], 1).astype(np.int64)  # noqa: B023
 
             cut = a + 1 + int(np.searchsorted(bucket[a + 1 : b], 1 << bits))
             yield col["ids"][a].as_py(), flags, t, totals(cut, b), totals(a + 1, cut)
@@ -252,13 +307,31 @@ def report(docs: DataFrame) -> DataFrame:
     size = chunks.agg(F.count("*").alias("n"), F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda s, x: s + x)).alias("bytes")).first()
     if not size["n"]:
         return docs.select(F.col("doc_id").cast("long")).withColumns({x.split()[0]: F.lit(None).cast(x.split()[1]) for x in OUT.split(", ")[1:]})
-    bits = max(0, int((size["bytes"] // BUCKET_BYTES)).bit_length())
-    word_bits = max(0, bits - 3)
-    counted = chunks.mapInArrow(_counted(bits, word_bits), "chunk long, kind int, bucket int, blob binary")
-    n_buckets = (1 << bits) + (1 << word_bits)
-    counted = counted.repartition(parts_for(spark, n_buckets, 2), "bucket").sortWithinPartitions("bucket")
-    answers = work.keep(counted.mapInArrow(_answered(bits), "chunk long, kind int, bucket int, blob binary, n long, v long, d long"), "answers")
-    n, v, deleted = answers.agg(F.sum("n"), F.sum("v"), F.sum("d")).first()
+    fine = max(0, int((size["bytes"] // BUCKET_BYTES)).bit_length())
+    word_fine = max(0, fine - 3)
+    several = size["n"] > GROUP
+    bits = min(fine, (GROUP - 1).bit_length()) if several else fine
+    word_bits = min(word_fine, max(0, bits - 3))
+    rows = "chunk long, kind int, bucket int, blob binary"
+
+    def totals(counted: DataFrame) -> DataFrame:
+        dealt = counted.repartition(parts_for(spark, (1 << fine) + (1 << word_fine), 2), "bucket").sortWithinPartitions("bucket")
+        return work.keep(dealt.mapInArrow(_answered(fine), rows + ", n long, v long, d long"), "answers")
+
+    counted = chunks.mapInArrow(_counted(bits, word_bits), rows)
+    if several:
+        groups = -(-size["n"] // GROUP)
+        part = F.pmod("chunk", F.lit(groups)) * F.lit(1 << 20) + F.col("bucket")
+        counted = work.keep(counted.withColumn("part", part), "counted")
+        by_part = parts_for(spark, groups * ((1 << bits) + (1 << word_bits)), 2)
+        merged = counted.repartition(by_part, "part").sortWithinPartitions("part").mapInArrow(_merged(bits, fine, word_fine), rows)
+        answered = totals(merged)
+        back = answered.select(F.col("chunk").alias("part"), F.lit(0).cast("long").alias("chunk"), "kind", F.lit(-1).alias("bucket"), "blob", F.col("bucket").alias("answered"))
+        both = counted.select("part", "chunk", "kind", "bucket", "blob", F.lit(-1).alias("answered")).unionByName(back)
+        answers = work.keep(both.repartition(by_part, "part").sortWithinPartitions("part", "answered").mapInArrow(_spread, rows), "spread")
+    else:
+        answered = answers = totals(counted)
+    n, v, deleted = answered.agg(F.sum("n"), F.sum("v"), F.sum("d")).first()
 
     def met(c: DataFrame, a: DataFrame) -> DataFrame:
         rows = c.unionByName(a.select("chunk", "kind", "bucket", "blob"), allowMissingColumns=True)

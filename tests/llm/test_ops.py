@@ -276,7 +276,9 @@ def test_op9_recall_at_the_threshold():
     assert met.mean() >= 0.95
 
 
-def test_op5_against_counts(spark, monkeypatch):
+@pytest.mark.parametrize("group", [512, 4])
+def test_op5_against_counts(spark, monkeypatch, group):
+    monkeypatch.setattr(lm, "GROUP", group)
     monkeypatch.setattr(lm, "CHUNK", 30_000)
     monkeypatch.setattr(lm, "BUCKET_BYTES", 40_000)
     learned = {}
