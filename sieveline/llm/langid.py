@@ -101,8 +101,8 @@ class Model:
 class Lookup:
     """The n-grams at every character of a text, as places in the vocabulary from 1 on; 0 for none.
 
-    Vocabularies of up to 255 characters have a table by three bytes, a character being one; others are looked up by a
-    hash, codes that share a slot in a further table."""
+    Vocabularies of up to 255 characters have a table by the numbers of three characters; others are looked up by a hash,
+    codes that share a slot in a further table."""
 
     def __init__(self, vocab: np.ndarray):
         self.vocab = np.concatenate([[-1], vocab])
@@ -115,10 +115,11 @@ class Lookup:
         if self.narrow:
             own = np.zeros(_END, np.int32)
             own[used] = np.arange(1, len(used) + 1)
-            self.byte = own[_classes()]
-            self.table = np.zeros((1 << 25) + 256, np.int16 if len(vocab) < 1 << 15 else np.int32)
-            code = own[part[0]] | own[part[1]] << 8 | own[part[2]] << 16 | (size == 2) << 24 | (size == 1) << 25
-            self.table[code] = np.arange(1, len(vocab) + 1)
+            self.own = own[_classes()].astype(np.uint8)
+            self.base = n = len(used) + 1
+            self.table = np.zeros(n**3 + n**2 + n, np.int16 if len(vocab) < 1 << 15 else np.int32)
+            code = own[part[0]] + n * own[part[1]] + n * n * own[part[2]]
+            self.table[code + np.where(size == 2, n**3, 0) + np.where(size == 1, n**3 + n**2, 0)] = np.arange(1, len(vocab) + 1)
             return
         left = np.arange(1, len(self.vocab))
         salt = 0
@@ -150,11 +151,11 @@ class Lookup:
         """Places of the 1-, 2- and 3-grams at every character."""
         if not self.narrow:
             return [self._place(c) for c in _codes(chars)]
-        b = self.byte[chars]
-        two = b[:-1] << 8 | b[1:]
-        three = two[:-1] << 8 | b[2:]
-        # a character outside the vocabulary is byte 0, so that its n-grams have codes that no entry has
-        return [self.table[b | 1 << 25], self.table[two | 1 << 24], self.table[three]]
+        n, b = self.base, self.own[chars].astype(np.int32)
+        two = b[:-1] * n + b[1:]
+        three = two[:-1] * n + b[2:]
+        # a character outside the vocabulary is number 0, so that its n-grams have codes that no entry has
+        return [self.table[b + (n**3 + n**2)], self.table[two + n**3], self.table[three]]
 
 
 @lru_cache(1)
