@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ._spark import keyed
-from ._units import BYTE_VALUE, PIECE, Prefix, U, groups, mix, raw, signed, sliding_min, words
+from ._units import BYTE_VALUE, PIECE, U, Prefix, groups, mix, raw, signed, sliding_min, tidy, words
 
 POS = U((1 << 24) - 1)
 
@@ -79,7 +79,7 @@ def row_blocks(units: Units, length: int, k: int, depths: Sequence[int] = ()) ->
                         arrays.append(pa.array(signed(prefix.hash(anchor, np.where(beyond, anchor, anchor + depth))), mask=beyond))
                     yield pa.RecordBatch.from_arrays(arrays, names=["k1", "k2", "at", "n", "ohi", "core", "cover", *(f"d{depth}" for depth in depths)])
 
-    return f
+    return tidy(f)
 
 
 SEGMENT_SCHEMA = "k1 long, k2 long, seg long, n int, ohi int, mult int, body binary"
@@ -113,7 +113,7 @@ def segments(of_words: bool, length: int) -> Callable:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["k1", "k2", "seg", "n", "ohi", "mult", "body"])
 
-    return f
+    return tidy(f)
 
 
 def offsets_of(batch: pa.RecordBatch, lo: int, hi: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -6,7 +6,9 @@ any stretch is one subtraction and one multiplication. Everything works in bound
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +95,28 @@ def groups(offs: np.ndarray, limit: int = PIECE, rows: int = 1 << 30) -> Iterato
         lo = min(hi, n)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 * PIECE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about `limit` bytes of a column, so that what is made of a slice stays small too."""
+    for batch in batches:
+        for lo, hi in groups(raw(batch.column(column))[1], limit):
+            yield batch.slice(lo, hi - lo)
+
+
+def tidy(f: Callable) -> Callable:
+    """f, a map over batches, giving the memory that it no longer needs back to the system at its end: worker processes live
+    on, and what one stage has used would stand beside what the next one needs."""
+
+    def g(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return g
+
+
 def _words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     solid = ~SPACE[data]
     first, last = solid.copy(), solid.copy()

@@ -28,6 +28,8 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
+from ._units import in_slices, tidy
+
 REMEMBER = 600_000
 #: White space as the rank files' own library sees it: the Unicode property, without U+001C to U+001F.
 SPACE = r"\p{White_Space}"
@@ -170,7 +172,7 @@ def encoder(path: str, pattern: str) -> Encoder:
 def _encoded(path: str, pattern: str, with_ids: bool):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern)
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             texts = batch.column("text")
             n, ids_sha, back_sha, kept = [], [], [], []
             for i in range(len(batch)):
@@ -187,7 +189,7 @@ def _encoded(path: str, pattern: str, with_ids: bool):
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return f
+    return tidy(f)
 
 
 REPORT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

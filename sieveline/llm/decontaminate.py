@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import unused
 from ._spark import Work, keyed
-from ._units import LOWER, groups, mix, raw, signed, words
+from ._units import LOWER, groups, mix, raw, signed, tidy, words
 
 #: Spaced seeds (fixed values): they ignore one to four words.
 MASKS = ("1111011", "111010011", "1101001011", "1100110101")
@@ -208,7 +208,7 @@ def _searched(ids: tuple, texts: tuple, similarity: float, min_words: int):
             if rows:
                 yield _packed(rows)
 
-    return f
+    return tidy(f)
 
 
 def _packed(rows: list[tuple], schema: str = MATCH_SCHEMA) -> pa.RecordBatch:
@@ -242,7 +242,7 @@ def _seeded(masks: tuple[tuple[str, bool], ...], key: tuple[str, ...], of_items:
                     cols = [batch.column(c).take(pa.array(lo + row)) for c in key]
                     yield pa.RecordBatch.from_arrays([*cols, pa.array(np.flatnonzero(ok) - first[row]), pa.array(signed(s[ok]))], names=[*key, "at", "hash"])
 
-    return f
+    return tidy(f)
 
 
 def _checked(similarity: float, min_words: int):
@@ -257,7 +257,7 @@ def _checked(similarity: float, min_words: int):
             if rows:
                 yield _packed(rows, KEY_SCHEMA)
 
-    return f
+    return tidy(f)
 
 
 def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import unused
-from ._units import PIECE, groups, raw
+from ._units import PIECE, groups, raw, tidy
 
 SAMPLE_ROWS, LEAST_ROWS, SAMPLE_CHARS = 2400, 8, 20_000
 #: At least so many n-grams and landmarks in all, and for each language.
@@ -288,7 +288,7 @@ def _predict(model: Model | None, names: tuple[str, str]):
                 names=[*batch.schema.names[:-1], *names],
             )
 
-    return f
+    return tidy(f)
 
 
 def predict(docs: DataFrame, model: Model | None, *carry: str, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ._graph import whole_groups
 from ._spark import Work, parts_for
-from ._units import LOWER, mix, raw, words
+from ._units import LOWER, mix, raw, tidy, words
 
 CHUNK = 8 << 20
 BUCKET_BYTES = 8 << 20
@@ -134,7 +134,7 @@ def _counted(bits: int, word_bits: int):
                     names=["chunk", "kind", "bucket", "blob"],
                 )
 
-    return f
+    return tidy(f)
 
 
 def _answered(bits: int):
@@ -164,7 +164,7 @@ def _answered(bits: int):
                     [pa.array(chunk[a:b]), pa.array(kind[a:b]), pa.array(bucket[a:b]), pa.array(out, pa.binary()), pa.array(n), pa.array(v), pa.array(d)], names=["chunk", "kind", "bucket", "blob", "n", "v", "d"]
                 )
 
-    return f
+    return tidy(f)
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +190,7 @@ def _merged(bits: int, fine: int, word_fine: int):
                     rows += [(part[a], k, base + int(to[lo]), _pack(keys[lo:hi], counts[lo:hi])) for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["chunk", "kind", "bucket", "blob"])
 
-    return f
+    return tidy(f)
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +254,7 @@ def _events(bits: int, n: int):
             cell, count = np.unique(np.stack([_bucket(cu), q2.astype(np.int64), q1.astype(np.int64)]), axis=1, return_counts=True)
             yield pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int32)) for x in cell), pa.array(count)], names=["b", "q2", "q1", "n"])
 
-    return f
+    return tidy(f)
 
 
 def expectation_maximisation(cells: np.ndarray, n: int, v: int) -> np.ndarray:
@@ -293,7 +293,7 @@ def _scored(bits: int, n: int, v: int, weights: np.ndarray):
             cols = [pa.array(ids, pa.int64()), pa.array(np.array(flags) == HELD), pa.array(np.diff(t.first)), pa.array(known), pa.array(np.full(len(ids), n, np.int64)), pa.array(base), pa.array(score)]
             yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in OUT.split(", ")])
 
-    return f
+    return tidy(f)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import row_lot, unused
 from ._graph import blocked, components, local_roots, whole_groups
 from ._spark import Work, keyed, parts_for
-from ._units import PIECE, Prefix, groups, mix, raw, signed, words
+from ._units import PIECE, Prefix, groups, mix, raw, signed, tidy, words
 
 WORDS, JACCARD, RECALL = 5, 0.8, 0.9995
 SPLIT, DEPTH, BLOCK, SEED = 48, 3, 512, 4242
@@ -90,7 +90,7 @@ def _sketched(k: int, size: int):
                     [*(batch.column(c).slice(lo, hi - lo) for c in ("k1", "k2", "doc_id")), pa.array(n.astype(np.int32)), pa.array(node), mins], names=["k1", "k2", "doc_id", "n", "node", "mins"]
                 )
 
-    return f
+    return tidy(f)
 
 
 def _parted(size: int, least: float):
@@ -129,7 +129,7 @@ def _parted(size: int, least: float):
             part = signed(mix(part.view(np.uint64) ^ mix(node[root[used]].view(np.uint64))))
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(side[used]), pa.array(r[used]), pa.array(node[used])], names=["task", "side", "r", "node"])
 
-    return f
+    return tidy(f)
 
 
 def _sets(k: int):
@@ -141,7 +141,7 @@ def _sets(k: int):
                 body = pa.LargeBinaryArray.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer((first * 8).astype(np.int64)), pa.py_buffer(h)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), body], names=["node", "body"])
 
-    return f
+    return tidy(f)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -196,7 +196,7 @@ def _verified(jaccard: float):
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["node", "root", "links"])
 
-    return f
+    return tidy(f)
 
 
 def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: float = RECALL, work: Work | None = None) -> DataFrame:

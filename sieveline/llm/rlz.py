@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import unused
 from ._repeats import BLOCK_SCHEMA, SEGMENT_SCHEMA, offsets_of, row_blocks, segments, with_spans, word_units
 from ._spark import MIN_LONG, Work, keyed
-from ._units import Prefix, U, groups, mix, raw, signed
+from ._units import U, Prefix, groups, in_slices, mix, raw, signed, tidy
 
 WINDOW = 35
 ANCHOR = 8
@@ -100,7 +100,7 @@ def _parts(length: int, size: int) -> Callable:
                 place = [o1.astype(np.int32), o2.astype(np.int32), col["seg"][lo + seg] + ohi - o2, (o2 - o1 + 1).astype(np.int32), signed(core), signed(cover)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*own, *place)], names=["k1", "k2", "seg", "ohi", "mult", "o1", "o2", "at", "n", "core", "cover"])
 
-    return f
+    return tidy(f)
 
 
 def pieces(docs: DataFrame, window: int = WINDOW, work: Work | None = None) -> DataFrame:
@@ -165,7 +165,7 @@ def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def _parsed(window: int, digest: bool):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             texts = batch.column("text").cast(pa.binary())
             n_words, n_removed, kept = [], [], []
             for i, found in enumerate(_factors(batch, window)):
@@ -186,7 +186,7 @@ def _parsed(window: int, digest: bool):
             cols = [batch.column("k1"), batch.column("k2"), batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=["k1", "k2", "doc_id", "n_words", "n_removed", "kept"])
 
-    return f
+    return tidy(f)
 
 
 _PARSED = "k1 long, k2 long, doc_id long, n_words long, n_removed long, kept string"

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ._repeats import BLOCK_SCHEMA, SEGMENT_SCHEMA, byte_units, offsets_of, row_blocks, segments, with_spans
 from ._spark import Work, keyed
-from ._units import BYTE_VALUE, Prefix, U, groups, mix, raw, signed
+from ._units import BYTE_VALUE, U, Prefix, groups, in_slices, mix, raw, signed, tidy
 
 WINDOW = 400
 #: Digits a window; numbers of suffixes a row once runs are taken apart, each a divisor of the one before.
@@ -84,7 +84,7 @@ def _digits(length: int, size: int) -> Callable:
                 rest = [o1.astype(np.int32), o2.astype(np.int32), col["seg"][lo + seg] + ohi - o2, (o2 - o1 + 1).astype(np.int32), signed(front), signed(core), signed(cover)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*own, *rest)], names=["k1", "k2", "seg", "mult", "o1", "o2", "at", "n", "front", "core", "cover"])
 
-    return f
+    return tidy(f)
 
 
 def spans(docs: DataFrame, window: int = WINDOW, work: Work | None = None) -> DataFrame:
@@ -140,7 +140,7 @@ def covered(n: int, spans: list[dict] | None, length: int) -> np.ndarray | None:
 
 def _cut(window: int):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, "text"):
             texts = batch.column("text").cast(pa.binary())
             found = batch.column("spans")
             size, gone, runs, sha = [], [], [], []
@@ -159,7 +159,7 @@ def _cut(window: int):
             cols = [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (size, gone, runs)), pa.array(sha, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return f
+    return tidy(f)
 
 
 def report(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ._graph import blocked, components, local_roots, whole_groups
 from ._spark import Work, parts_for
-from ._units import mix, signed
+from ._units import mix, signed, tidy
 
 COSINE, WIDTH, RECALL, SEED, BLOCK = 0.9, 2.0, 0.98, 77, 512
 SPREAD = 2
@@ -101,7 +101,7 @@ def _hashed(k: int, tables: int):
                         [pa.array(np.repeat(node[part], tables)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(part))), pa.array(signed(key.reshape(-1)))], names=["node", "t", "key"]
                     )
 
-    return f
+    return tidy(f)
 
 
 def _compared(k: int, tables: int, cosine: float):
@@ -149,7 +149,7 @@ def _compared(k: int, tables: int, cosine: float):
             if out_n:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_n, out_r, out_l)], names=["node", "root", "links"])
 
-    return f
+    return tidy(f)
 
 
 def report(embeddings: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
