@@ -103,7 +103,7 @@ def segments(of_words: bool, length: int) -> Callable:
                     size += len(piece)
                     for o, x in zip(out, (batch.column("k1")[i].as_py(), batch.column("k2")[i].as_py(), a, s["n"], s["ohi"], s["mult"], piece), strict=True):
                         o.append(x)
-                    if size > 8 * PIECE:
+                    if size > 16 * PIECE:
                         yield pack(out)
                         out, size = [[] for _ in range(7)], 0
             if out[0]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 U = np.uint64
 #: Fixed odd multipliers (both 3 modulo 8) and the seed of the byte table.
 Q_BYTE, Q_UNIT, SEED = 0x9E3779B97F4A7C13, 0xC2B2AE3D27D4EB4B, 20240917
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 _rng = np.random.default_rng(SEED)
 BYTE_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -95,7 +95,7 @@ def groups(offs: np.ndarray, limit: int = PIECE, rows: int = 1 << 30) -> Iterato
         lo = min(hi, n)
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 * PIECE) -> Iterator[pa.RecordBatch]:
+def in_slices(batches: Iterator[pa.RecordBatch], column: str | int, limit: int = 16 * PIECE) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about `limit` bytes of a column, so that what is made of a slice stays small too."""
     for batch in batches:
         for lo, hi in groups(raw(batch.column(column))[1], limit):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from ._units import in_slices, tidy
 
-REMEMBER = 600_000
+REMEMBER = 200_000
 #: White space as the rank files' own library sees it: the Unicode property, without U+001C to U+001F.
 SPACE = r"\p{White_Space}"
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import unused
-from ._units import PIECE, groups, raw, tidy
+from ._units import PIECE, groups, in_slices, raw, tidy
 
 SAMPLE_ROWS, LEAST_ROWS, SAMPLE_CHARS = 2400, 8, 20_000
 #: At least so many n-grams and landmarks in all, and for each language.
@@ -264,7 +264,7 @@ def _ridge(k_xm: np.ndarray, k_mm: np.ndarray, lang: np.ndarray, n_langs: int) -
 
 def _predict(model: Model | None, names: tuple[str, str]):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches, -1):
             n = len(batch)
             pred, score = np.full(n, UND, object), np.zeros(n)
             data, offs = raw(batch.column(batch.num_columns - 1))
