@@ -110,24 +110,28 @@ def _parted(size: int, least: float):
                 i = i[(mins[i] == mins[i + d]).sum(1) >= need]
                 ai.append(i)
                 bi.append(i + d)
-            for g in np.flatnonzero(~small):
+
+            def joined(ai: list, bi: list, lo: int, hi: int) -> pa.RecordBatch | None:
+                a = np.concatenate(ai) if ai else np.zeros(0, np.int64)
+                b = np.concatenate(bi) if bi else a
+                ok = (side[a] == 0) | (side[a] != side[b])  # noqa: B023
+                a, b = a[ok] - lo, b[ok] - lo
+                if not len(a):
+                    return None
+                root = local_roots(hi - lo, a, b) + lo
+                used = np.unique(np.concatenate([a, b])) + lo
+                part = signed(mix(task[used].view(np.uint64) + mix(root[used - lo].astype(np.uint64))))  # noqa: B023
+                part = signed(mix(part.view(np.uint64) ^ mix(node[root[used - lo]].view(np.uint64))))  # noqa: B023
+                return pa.RecordBatch.from_arrays([pa.array(part), pa.array(side[used]), pa.array(r[used]), pa.array(node[used])], names=["task", "side", "r", "node"])  # noqa: B023
+
+            if batch := joined(ai, bi, 0, len(node)):
+                yield batch
+            for g in np.flatnonzero(~small):  # one at a time: a group of near copies has most of its pairs
                 a, b = first[g], first[g + 1]
                 part = mins[a:b]
-                for i in range(b - a - 1):
-                    hit = np.flatnonzero((part[i + 1 :] == part[i]).sum(1) >= need)
-                    ai.append(np.full(len(hit), a + i))
-                    bi.append(a + i + 1 + hit)
-            a = np.concatenate(ai) if ai else np.zeros(0, np.int64)
-            b = np.concatenate(bi) if bi else a
-            ok = (side[a] == 0) | (side[a] != side[b])
-            a, b = a[ok], b[ok]
-            if not len(a):
-                continue
-            root = local_roots(len(node), a, b)
-            used = np.unique(np.concatenate([a, b]))
-            part = signed(mix(task[used].view(np.uint64) + mix(root[used].astype(np.uint64))))
-            part = signed(mix(part.view(np.uint64) ^ mix(node[root[used]].view(np.uint64))))
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(side[used]), pa.array(r[used]), pa.array(node[used])], names=["task", "side", "r", "node"])
+                hits = [np.flatnonzero((part[i + 1 :] == part[i]).sum(1) >= need) for i in range(b - a - 1)]
+                if batch := joined([np.full(len(h), a + i) for i, h in enumerate(hits)], [a + i + 1 + h for i, h in enumerate(hits)], a, b):
+                    yield batch
 
     return tidy(f)
 
