@@ -95,29 +95,36 @@ class Vocabulary:
         self.pair = {
             a << 32 | b: r for t, r in self.rank.items() for i in range(1, len(t)) if (a := get(t[:i])) is not None and (b := get(t[i:])) is not None
         }
+        #: Rank of the pair of two bytes, -1 for none.
+        self.first = [self.pair.get(a << 32 | b, -1) for a in self.of_byte for b in self.of_byte]
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of a pre-token by merging the lowest rank first, the leftmost of equals. A heap entry is rank and place in
-        one integer; an entry whose pair has changed since is stale and skipped."""
-        get, n = self.pair.get, len(token)
+        one integer; an entry is stale, and skipped, if the pair at its place has another rank now."""
+        get, first, n = self.pair.get, self.first, len(token)
         ids = list(map(self.of_byte.__getitem__, token))
+        now = [first[a << 8 | b] for a, b in zip(token, token[1:], strict=False)]
+        now.append(-1)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [r << 32 | i for i in range(n - 1) if (r := get(ids[i] << 32 | ids[i + 1])) is not None]
+        heap = [r << 32 | i for i, r in enumerate(now) if r >= 0]
         heapq.heapify(heap)
         while heap:
             x = heapq.heappop(heap)
             i, r = x & 0xFFFFFFFF, x >> 32
-            j = after[i]
-            if j >= n or ids[i] < 0 or get(ids[i] << 32 | ids[j]) != r:
+            if now[i] != r:
                 continue
-            ids[i], ids[j] = r, -1
+            j = after[i]
+            ids[i], ids[j], now[i], now[j] = r, -1, -1, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (q := get(r << 32 | ids[k])) is not None:
+                if (q := get(r << 32 | ids[k], -1)) >= 0:
+                    now[i] = q
                     heapq.heappush(heap, q << 32 | i)
-            if (h := before[i]) >= 0 and (q := get(ids[h] << 32 | r)) is not None:
-                heapq.heappush(heap, q << 32 | h)
+            if (h := before[i]) >= 0:
+                now[h] = q = get(ids[h] << 32 | r, -1)
+                if q >= 0:
+                    heapq.heappush(heap, q << 32 | h)
         return [x for x in ids if x >= 0]
 
     def resolve(self, tokens: list[bytes]) -> list[bytes]:
