@@ -9,7 +9,7 @@ special token exists, so any text is ordinary text.
 
 Defined results: a null text counts as empty and has no ids; repeated rows, null ids and ties stay rows of their own; an
 empty table gives an empty result; other columns are ignored. Memory is bounded by the batch: distinct pre-tokens are
-remembered up to `REMEMBER` and then forgotten.
+remembered up to `remember` of them (about 160 bytes each) and then forgotten, which costs time but changes no result.
 """
 
 from __future__ import annotations
@@ -145,14 +145,14 @@ def _pattern(pattern: str) -> regex.Pattern:
 class Encoder:
     """Encodes texts one after another; remembers what it has resolved, up to a bound."""
 
-    def __init__(self, path: str, pattern: str):
-        self.vocab, self.find, self.known = vocabulary(path), _pattern(pattern).findall, {}
+    def __init__(self, path: str, pattern: str, remember: int = REMEMBER):
+        self.vocab, self.find, self.known, self.remember = vocabulary(path), _pattern(pattern).findall, {}, remember
 
     def __call__(self, text: str) -> bytes:
         parts = self.find(text)
         known = self.known
         if new := set(parts).difference(known):
-            if len(known) > REMEMBER:
+            if len(known) > self.remember:
                 known = self.known = {}
                 new = set(parts)
             fresh = list(new)
@@ -164,14 +164,14 @@ class Encoder:
 
 
 @cache
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, remember: int = REMEMBER) -> Encoder:
     """One a worker process, so that what it remembers serves the next task too."""
-    return Encoder(path, pattern)
+    return Encoder(path, pattern, remember)
 
 
-def _encoded(path: str, pattern: str, with_ids: bool):
+def _encoded(path: str, pattern: str, with_ids: bool, remember: int):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern)
+        encode = encoder(path, pattern, remember)
         for batch in in_slices(batches, "text"):
             texts = batch.column("text")
             n, ids_sha, back_sha, kept = [], [], [], []
@@ -195,11 +195,11 @@ def _encoded(path: str, pattern: str, with_ids: bool):
 REPORT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True, remember: int = REMEMBER) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the bytes decoded from them and, on request, ids array<int>. A narrow
     map: no shuffle, and a lost task is simply run again."""
     d = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
-    return d.mapInArrow(_encoded(path, pattern, with_ids), REPORT + (", ids array<int>" if with_ids else ""))
+    return d.mapInArrow(_encoded(path, pattern, with_ids, remember), REPORT + (", ids array<int>" if with_ids else ""))
 
 
 def decode(ids: DataFrame, path: str) -> DataFrame:

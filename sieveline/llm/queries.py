@@ -39,7 +39,7 @@ def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
+    return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False, remember=600_000)
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
