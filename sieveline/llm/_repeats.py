@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ._spark import keyed
-from ._units import BYTE_VALUE, PIECE, U, Prefix, groups, mix, raw, signed, sliding_min, tidy, words
+from ._units import BYTE_VALUE, PIECE, U, Prefix, groups, mix, raw, signed, sliding_min, spread, tidy, words
 
 POS = U((1 << 24) - 1)
 
@@ -33,13 +33,13 @@ def word_units(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words(data, offs)
 
 
-def cut(prefix: Prefix, ends: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
+def cut(values: np.ndarray, prefix: Prefix, ends: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
     """Blocks of concatenated rows; ends: each row's end. (start, windows, anchor's place, anchor's gram, cover)."""
     none = np.zeros(0, np.int64)
-    n = len(prefix.sums) - 1
+    n = len(values)
     if n < length:
         return none, none, none, none.view(np.uint64), none.view(np.uint64)
-    grams = prefix.grams(k)
+    grams = spread(values, k)
     least = sliding_min((grams & ~POS) | np.arange(len(grams), dtype=np.uint64), length - k + 1)
     at = np.arange(n - length + 1)
     valid = ends[np.searchsorted(ends, at, "right")] >= at + length
@@ -51,7 +51,7 @@ def cut(prefix: Prefix, ends: np.ndarray, length: int, k: int) -> tuple[np.ndarr
     anchor = (least[start] & POS).astype(np.int64)
     count = end - start
     cover = mix(prefix.hash(start, end - 1 + length) ^ ((anchor - start) * 65536 + count).astype(np.uint64))
-    return start, count, anchor, grams[anchor], cover
+    return start, count, anchor, prefix.hash(anchor, anchor + k), cover
 
 
 def row_blocks(units: Units, length: int, k: int, depths: Sequence[int] = ()) -> Callable:
@@ -68,7 +68,7 @@ def row_blocks(units: Units, length: int, k: int, depths: Sequence[int] = ()) ->
                 for a in range(0, max(1, len(values) - length + 1), step):  # more than one step only for a very long text
                     part = values[a : a + step + length - 1]
                     prefix = Prefix(part)
-                    start, n, anchor, core, cover = cut(prefix, np.clip(first[1:] - a, 0, len(part)), length, k)
+                    start, n, anchor, core, cover = cut(part, prefix, np.clip(first[1:] - a, 0, len(part)), length, k)
                     if not len(start):
                         continue
                     row = np.searchsorted(first, start + a, "right") - 1

@@ -6,11 +6,13 @@ import math
 import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIN_LONG = -(2**63)
+MOST_PARTS = 20_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,7 +35,7 @@ class Work:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-        self.paths: dict[int, str] = {}
+        self.paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
         self.n = 0
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -44,7 +46,7 @@ class Work:
             fs, root = self._file_system(self.root)
             fs.deleteOnExit(root)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.paths[out] = path
         return out
 
     def _file_system(self, path: str):
@@ -54,7 +56,7 @@ class Work:
     def drop(self, *frames: DataFrame) -> None:
         """Deletes tables that nothing lazy reads any more."""
         for df in frames:
-            if path := self.paths.pop(id(df), None):
+            if path := self.paths.pop(df, None):
                 fs, p = self._file_system(path)
                 fs.delete(p, True)
 
@@ -71,5 +73,6 @@ def keyed(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
 
 
 def parts_for(spark: SparkSession, amount: float, each: float) -> int:
-    """So many partitions that each holds about `each` of `amount`."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), math.ceil(amount / each))
+    """So many partitions that each holds about `each` of `amount`, but no more than MOST_PARTS, beyond which the driver couldn't
+    hold where the pieces of a shuffle are: a task then takes several groups, one after the other."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), min(MOST_PARTS, math.ceil(amount / each)))

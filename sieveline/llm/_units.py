@@ -1,7 +1,9 @@
 """Vectorised hashing of byte and word sequences with numpy.
 
-A sequence of units (bytes or words) is hashed by prefix sums of unit_value * q**i modulo 2**64, so that the hash of
-any stretch is one subtraction and one multiplication. Everything works in bounded pieces.
+A word is hashed from its bytes, eight at a time, each eight mixed into what came before. A sequence of units (bytes or words)
+is hashed by prefix sums of unit_value * q**i modulo the prime 2**61 - 1, so that the hash of any stretch is one subtraction
+and one multiplication. (Modulo 2**64 there are long periodic words that collide for every q; in a field, two sequences of n
+units agree for at most n of all q.) Where only a choice depends on it, `spread` is cheaper. All works in bounded pieces.
 """
 
 from __future__ import annotations
@@ -9,36 +11,72 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
-#: Fixed odd multipliers (both 3 modulo 8) and the seed of the byte table.
-Q_BYTE, Q_UNIT, SEED = 0x9E3779B97F4A7C13, 0xC2B2AE3D27D4EB4B, 20240917
+#: Fixed multipliers of the two polynomials and the seed of the byte table.
+Q_UNIT, Q_SPREAD, SEED = 0x1A2F5C0D3B97E461, 0x9E3779B97F4A7C13, 20240917
+PRIME = U(2**61 - 1)
 PIECE = 1 << 18
+#: Words of so many bytes at most are hashed in numpy; units whose prefix sums are made at once.
+SHORT, CHUNK = 64, 1 << 15
 
 _rng = np.random.default_rng(SEED)
-BYTE_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
+BYTE_VALUE = _rng.integers(1, 2**30, 256, dtype=np.uint32)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(q: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """q**i and q**-i modulo 2**64 for i < n."""
-    have = _powers.get(q)
-    if have is None or len(have[0]) < n:
-        size = 1 << max(12, int(n - 1).bit_length())
-        out = []
-        for base in (q, pow(q, -1, 2**64)):
-            a = np.full(size, U(base))
-            a[0] = U(1)
-            out.append(np.cumprod(a, dtype=np.uint64))
-        have = _powers[q] = (out[0], out[1])
+_LOW30, _LOW31 = U((1 << 30) - 1), U((1 << 31) - 1)
+_powers: dict[int, np.ndarray] = {}
+
+
+def fold(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME; x is overwritten."""
+    high = x >> U(61)
+    x &= PRIME
+    x += high
+    return np.subtract(x, PRIME, out=x, where=x >= PRIME)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number under 2**63 that is a * b modulo PRIME, of numbers under 2**61, by halves of 31 bits; a may have 32-bit units
+    under 2**30."""
+    bu, bl = b >> U(31), b & _LOW31
+    if a.dtype == np.uint32:
+        mid, out = a * bu, a * bl
+    else:
+        au, al = a >> U(31), a & _LOW31
+        mid = al * bu
+        mid += au * bl
+        au *= bu
+        au <<= U(1)
+        al *= bl
+        out = au
+        out += al
+    out += mid >> U(30)
+    mid &= _LOW30
+    mid <<= U(31)
+    out += mid
+    return out
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, of numbers under 2**61."""
+    return fold(_product(a, b))
+
+
+def powers(q: int, n: int) -> np.ndarray:
+    """q**i modulo PRIME for i < n."""
+    have = _powers.get(q, np.ones(1, np.uint64))
+    while len(have) < n:
+        have = np.concatenate([have, times(have, np.full(1, pow(q, len(have), 2**61 - 1), np.uint64))])
+    _powers[q] = have
     return have
 
 
@@ -53,20 +91,44 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Prefix:
-    """Hashes of stretches of a unit sequence."""
+    """Fingerprints of stretches of a unit sequence."""
 
     def __init__(self, values: np.ndarray, q: int = Q_UNIT):
-        self.q, n = q, len(values)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * powers(q, n + 1)[0][:n], out=self.sums[1:])
+        n = len(values)
+        self.back = pow(q, -1, 2**61 - 1)
+        self.sums, forth = np.zeros(n + 1, np.uint64), powers(q, n)
+        for lo in range(0, n, CHUNK):
+            part = values[lo : lo + CHUNK]
+            term = _product(part if part.dtype == np.uint32 else part & PRIME, forth[lo : min(n, lo + CHUNK)])
+            high = np.cumsum(term >> U(31))  # under 2**47
+            low = np.cumsum(term & _LOW31)
+            low += high >> U(30)
+            low += (high & _LOW30) << U(31)
+            low += self.sums[lo]
+            self.sums[lo + 1 : lo + 1 + len(term)] = fold(low)
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * powers(self.q, len(self.sums))[1][start])
+        return mix(times(fold(self.sums[end] + PRIME - self.sums[start]), powers(self.back, len(self.sums))[start]))
+
+
+@cache
+def _wrapping(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Q_SPREAD**i and Q_SPREAD**-i modulo 2**64."""
+    forth, back = (np.full(n, U(q)) for q in (Q_SPREAD, pow(Q_SPREAD, -1, 2**64)))
+    forth[0] = back[0] = U(1)
+    return np.cumprod(forth, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
 
-    def grams(self, k: int) -> np.ndarray:
-        """Hash of units i .. i + k - 1 for every i."""
-        n = len(self.sums) - k
-        return mix((self.sums[k:] - self.sums[:-k]) * powers(self.q, n)[1][:n]) if n > 0 else np.zeros(0, np.uint64)
+
+def spread(values: np.ndarray, k: int) -> np.ndarray:
+    """A number for units i .. i + k - 1 for every i, to choose by: equal stretches have equal numbers, but unequal ones made
+    for it may too."""
+    n = len(values) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    forth, back = _wrapping(1 << max(12, int(len(values) - 1).bit_length()))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * forth[: len(values)], out=sums[1:])
+    return mix((sums[k:] - sums[:-k]) * back[:n])
 
 
 def raw(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +191,24 @@ def _words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, offs)
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The fingerprint of each word, from its bytes and its length."""
+    size = end - start
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    full = U(2**64 - 1)
+    out = mix(size.astype(np.uint64) + U(SEED))
+    open_ = np.flatnonzero(size <= SHORT)
+    for at in range(0, SHORT, 8):
+        open_ = open_[size[open_] > at]
+        if not len(open_):
+            break
+        rest = np.minimum(size[open_] - at, 8)
+        out[open_] = mix(out[open_] ^ (eight[start[open_] + at] & (full >> (U(64) - U(8) * rest.astype(np.uint64)))))
+    for i in np.flatnonzero(size > SHORT).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]], SEED)
+    return out
+
+
 def words(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (runs of bytes other than space and \\t \\n \\v \\f \\r) of every row, and each row's first
     word (len + 1). Rows longer than a piece are cut at white space, so memory stays bounded by the piece."""
@@ -145,7 +225,7 @@ def words(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.n
                 part = LOWER[part]
             o = offs[lo : hi + 1] - offs[lo] if e == b and a == offs[lo] else np.array([0, e - a])
             s, t, at = _words(part, o)
-            out.append(Prefix(BYTE_VALUE[part], Q_BYTE).hash(s, t))
+            out.append(word_hashes(part, s, t))
             counts[lo:hi] += at[1:] - at[:-1]
             a = e
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.concatenate([[0], np.cumsum(counts)])

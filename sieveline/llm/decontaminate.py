@@ -8,14 +8,15 @@ in which at least `similarity` of the words agree; it counts from `min_words` wo
 Words are runs of letters, digits and non-ASCII symbols, lower-cased, so punctuation (ASCII or not) and case don't hide a
 passage. A letter or mark of a script without spaces (Han, kana, Thai, Lao, Khmer, Burmese and others) is a word of its own.
 
-Items under 12 words count only as a whole, with as many substitutions s as the similarity admits. They get seeds of their
-own: cut into s + 2 blocks, at least two blocks are untouched, so that the masks of all pairs of blocks miss nothing.
+Items under 12 words count only as a whole, with as many substitutions s as the similarity admits (none under 5 words: such
+items must stand there verbatim). They get seeds of their own: cut into s + 2 blocks, at least two blocks are untouched, so
+that the masks of all pairs of blocks miss nothing. A benchmark whose shortest items say too little names its floor, `least`.
 
 The seeds of the test items are sent to every task where their texts have at most `BROADCAST_CHARS` signs (counted first);
 then a document meets all items in its own task and nothing is shuffled. Larger benchmarks take the other way: seeds of
-both sides are joined by hash, hits are made distinct by diagonal, and texts are joined to them for the same verification.
+both sides are joined by hash, a bitmap of the items' hashes keeping back documents' seeds that meet none, hits are made distinct by diagonal, and texts are joined to them for the same verification.
 
-Defined results: null and empty texts and items match nothing; items under `LEAST` words are ignored; one row for each
+Defined results: null and empty texts and items match nothing; items under `least` words (none by default) are ignored; one row for each
 row of docs and row of items, with the longest overlap (the first on ties), so that repeated rows of either give repeated
 rows in both ways; null ids are carried; an empty table gives an empty result; other
 columns are ignored by `matches` and kept by `clean`.
@@ -24,12 +25,14 @@ columns are ignored by `matches` and kept by `clean`.
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +42,10 @@ from ._units import LOWER, groups, mix, raw, signed, tidy, words
 
 #: Spaced seeds (fixed values): they ignore one to four words.
 MASKS = ("1111011", "111010011", "1101001011", "1100110101")
-SIMILARITY, MIN_WORDS, LEAST = 0.8, 12, 5
+SIMILARITY, MIN_WORDS = 0.8, 12
 BROADCAST_CHARS = 16_000_000
+#: The bitmap of items' seeds in front of the join by seed: 2**26 bits, 8 MB.
+FILTER_BITS = 26
 
 _PLAIN = LOWER.copy()
 _PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = 32
@@ -98,11 +103,11 @@ def seeds(values: np.ndarray, mask: str) -> np.ndarray:
     return mix(h)
 
 
-def _masks(lengths: np.ndarray, similarity: float) -> list[tuple[str, bool]]:
+def _masks(lengths: np.ndarray, similarity: float, least: int = 1) -> list[tuple[str, bool]]:
     """The fixed masks, and (True) those that cover the whole of an item of their own length, for items of under MIN_WORDS."""
     out = [(m, False) for m in MASKS]
     for n in np.unique(lengths).tolist():
-        if LEAST <= n < MIN_WORDS:
+        if max(1, least) <= n < MIN_WORDS:
             blocks = min(n, int((1 - similarity) * n + 1e-9) + 2)
             of = np.arange(n) * blocks // n
             out += [("".join("01"[int(k in pair)] for k in of), True) for pair in combinations(range(blocks), min(2, blocks))]
@@ -112,20 +117,19 @@ def _masks(lengths: np.ndarray, similarity: float) -> list[tuple[str, bool]]:
 class Items:
     """Test items with their seeds, sorted by hash behind a bitmap that most lookups end at."""
 
-    def __init__(self, ids: list[int | None], texts: list[str | None], similarity: float = SIMILARITY):
+    def __init__(self, ids: list[int | None], texts: list[str | None], similarity: float = SIMILARITY, least: int = 1):
         data, offs = raw(pa.array(texts, pa.string()))
         self.values, self.first = tokens(data, offs)
         self.ids = ids
         lens = np.diff(self.first)
-        masks = _masks(lens, similarity)
+        masks = _masks(lens, similarity, least)
         self.masks = [m for m, _ in masks]
         h, item, at = [], [], []
         for mask, whole in masks:
             s = seeds(self.values, mask)
             row = np.searchsorted(self.first, np.arange(len(s)), "right") - 1
             ok = np.arange(len(s)) + len(mask) <= self.first[row + 1]
-            if whole:
-                ok &= lens[row] == len(mask)
+            ok &= lens[row] == len(mask) if whole else lens[row] >= least
             h.append(s[ok])
             item.append(row[ok])
             at.append(np.flatnonzero(ok) - self.first[row[ok]])
@@ -186,13 +190,16 @@ def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, similarity: float,
 
 
 @lru_cache(2)
-def _items(ids: tuple, texts: tuple, similarity: float) -> Items:
-    return Items(list(ids), list(texts), similarity)
+def _items(ids: tuple, texts: tuple, similarity: float, least: int) -> Items:
+    return Items(list(ids), list(texts), similarity, least)
 
 
-def _searched(ids: tuple, texts: tuple, similarity: float, min_words: int):
+def _searched(sent: Broadcast, similarity: float, min_words: int, least: int):
+    """sent: ids and texts of the items, a broadcast variable that a worker unpickles once for all its tasks."""
+
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _items(ids, texts, similarity)
+        ids, texts = sent.value
+        items = _items(ids, texts, similarity, least)
         for batch in batches:
             data, offs = raw(batch.column("text"))
             doc_id = batch.column("doc_id").to_pylist()
@@ -224,10 +231,12 @@ def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(n[n < MIN_WORDS], pa.int64())], names=["n"])
 
 
-def _seeded(masks: tuple[tuple[str, bool], ...], key: tuple[str, ...], of_items: bool):
-    """Rows (key, at, hash) of all seeds; of_items: masks of a whole item only over rows of their own length."""
+def _seeded(masks: tuple[tuple[str, bool], ...], key: tuple[str, ...], of_items: bool, least: int = 1, wanted: Broadcast | None = None):
+    """Rows (key, at, hash) of all seeds; of_items: masks of a whole item only over rows of their own length. wanted: a bitmap by
+    the first bits of a hash; a seed whose bit isn't set meets no item and goes before the shuffle."""
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(zlib.decompress(wanted.value), np.uint8) if wanted else None
         for batch in batches:
             data, offs = raw(batch.column("text"))
             for lo, hi in groups(offs):
@@ -236,8 +245,10 @@ def _seeded(masks: tuple[tuple[str, bool], ...], key: tuple[str, ...], of_items:
                     s = seeds(values, mask)
                     row = np.searchsorted(first, np.arange(len(s)), "right") - 1
                     ok = np.arange(len(s)) + len(mask) <= first[row + 1]
-                    if whole and of_items:
-                        ok &= np.diff(first)[row] == len(mask)
+                    if of_items:
+                        ok &= np.diff(first)[row] == len(mask) if whole else np.diff(first)[row] >= least
+                    if bits is not None:
+                        ok &= (bits[(s >> np.uint64(64 - FILTER_BITS + 3)).astype(np.int64)] >> ((s >> np.uint64(64 - FILTER_BITS)) & np.uint64(7)).astype(np.uint8)) & 1 > 0
                     row = row[ok]
                     cols = [batch.column(c).take(pa.array(lo + row)) for c in key]
                     yield pa.RecordBatch.from_arrays([*cols, pa.array(np.flatnonzero(ok) - first[row]), pa.array(signed(s[ok]))], names=[*key, "at", "hash"])
@@ -245,6 +256,16 @@ def _seeded(masks: tuple[tuple[str, bool], ...], key: tuple[str, ...], of_items:
     return tidy(f)
 
 
+def _filter(of_items: DataFrame) -> Broadcast:
+    """One bit for each first FILTER_BITS bits of a hash that an item's seed has. Bytes of the bitmap are aggregates: a group
+    a byte that is set, so that what comes to the driver is bounded by the bitmap and not by the items."""
+    rows = of_items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).cast("int").alias("place")).selectExpr("place div 8 AS byte", "1 << (place % 8) AS bit")
+    table = rows.groupBy("byte").agg(F.bit_or("bit").cast("int").alias("bits")).toArrow()
+    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    bits[table.column("byte").to_numpy()] = table.column("bits").to_numpy()
+    return of_items.sparkSession.sparkContext.broadcast(zlib.compress(bits.tobytes(), 1))
+
+
 def _checked(similarity: float, min_words: int):
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,7 +281,7 @@ def _checked(similarity: float, min_words: int):
     return tidy(f)
 
 
-def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, broadcast_chars: int = BROADCAST_CHARS, least: int = 1) -> DataFrame:
     """doc_id, item_id, doc_start, item_start, n_words, n_same (in words) for every document that holds an item."""
     items = items.select(F.col("item_id").cast("long"), F.lower("text").alias("text")).where("text IS NOT NULL")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
@@ -268,14 +289,15 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, m
     if total <= broadcast_chars:
         got = sorted(((r[0], r[1]) for r in items.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         ids, texts = tuple(r[0] for r in got), tuple(r[1] for r in got)
-        return docs.mapInArrow(_searched(ids, texts, similarity, min_words), MATCH_SCHEMA)
+        sent = docs.sparkSession.sparkContext.broadcast((ids, texts))
+        return docs.mapInArrow(_searched(sent, similarity, min_words, least), MATCH_SCHEMA)
     work = Work(docs.sparkSession, "seeds")
     short = [r[0] for r in items.select("text").mapInArrow(_lengths, "n long").distinct().collect()]
-    masks = tuple(_masks(np.array(short, np.int64), similarity))
+    masks = tuple(_masks(np.array(short, np.int64), similarity, least))
     i = items.withColumns({"i1": F.coalesce("item_id", F.lit(-(2**63))), "i2": F.xxhash64("text")})
     d = keyed(docs, "doc_id", "text")
-    of_items = work.keep(i.mapInArrow(_seeded(masks, ("i1", "i2"), True), "i1 long, i2 long, at long, hash long"), "items")
-    of_docs = d.mapInArrow(_seeded(masks, ("k1", "k2"), False), "k1 long, k2 long, at long, hash long")
+    of_items = work.keep(i.mapInArrow(_seeded(masks, ("i1", "i2"), True, least), "i1 long, i2 long, at long, hash long"), "items")
+    of_docs = d.mapInArrow(_seeded(masks, ("k1", "k2"), False, wanted=_filter(of_items)), "k1 long, k2 long, at long, hash long")
     # a seed that very many documents hold is dealt to SALTS tasks, each with its own copy of the items' seeds
     salted = of_items.select("i1", "i2", F.col("at").alias("q"), "hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     met = of_docs.withColumn("salt", F.pmod(F.xxhash64("k1", "k2", "at"), F.lit(SALTS)).cast("int")).join(salted, ["hash", "salt"])
@@ -292,12 +314,12 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, m
     return both.select("doc_id", "item_id", (-F.col("b.minus")).alias("doc_start"), (-F.col("b.less")).alias("item_start"), "b.n_words", "b.n_same")
 
 
-def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, least: int = 1) -> DataFrame:
     """docs without those that hold an item, whole rows and all columns."""
     m = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k1"), F.xxhash64("text").alias("k2"), "text")
     # the key travels as id through matches, so that null and repeated ids stay apart
     marked = m.select(F.xxhash64("k1", "k2").alias("doc_id"), "text")
     (key,) = unused(docs, "row_key")
-    bad = matches(marked, items, similarity, min_words).select(F.col("doc_id").alias(key)).distinct()
+    bad = matches(marked, items, similarity, min_words, least=least).select(F.col("doc_id").alias(key)).distinct()
     keyed_docs = docs.withColumn(key, F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), F.xxhash64("text")))
     return keyed_docs.join(bad, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])

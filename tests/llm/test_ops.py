@@ -402,14 +402,16 @@ def test_op8_spans(spark):
     rows = [(1, f"{noise(40)} {items[0][1]} {noise(9)}"), (2, f"{noise(5)} {items[0][1].upper()}!"), (3, f"{noise(9)} {swapped} {noise(3)}"), (4, f"{noise(9)} {spoiled}"), (5, noise(300)), (6, None), (7, "")]
     rows += [(8, f"{items[1][1]} x {items[2][1]}"), (9, f"{noise(3)} {items[3][1]}"), (10, items[4][1]), (None, items[2][1]), (11, " ".join(w[:10])), (12, " ".join(w[:13]))]
     df, it = spark.createDataFrame(rows, DOC).withColumn("item_id", F.lit(0)), spark.createDataFrame(items, "item_id long, text string")
-    want = {(1, 0), (2, 0), (3, 0), (8, 1), (8, 2), (9, 3), (None, 2), (12, 0)}
+    want = {(1, 0), (2, 0), (3, 0), (8, 1), (8, 2), (9, 3), (10, 4), (None, 2), (12, 0)}
     got = decontaminate.matches(df, it).collect()
     assert {(x["doc_id"], x["item_id"]) for x in got} == want
     assert next((x["doc_start"], x["n_words"], x["n_same"]) for x in got if x["doc_id"] == 1) == (40, 30, 30)
     other = decontaminate.matches(df, it, broadcast_chars=0).collect()
     assert sorted(map(str, map(tuple, other))) == sorted(map(str, map(tuple, got)))
+    for limit in (decontaminate.BROADCAST_CHARS, 0):
+        assert {(x["doc_id"], x["item_id"]) for x in decontaminate.matches(df, it, broadcast_chars=limit, least=5).collect()} == want - {(10, 4)}
     clean = decontaminate.clean(df, it)
-    assert clean.columns == df.columns and sorted(x["doc_id"] for x in clean.collect()) == [4, 5, 6, 7, 10, 11]
+    assert clean.columns == df.columns and sorted(x["doc_id"] for x in clean.collect()) == [4, 5, 6, 7, 11]
 
 
 def test_op8_short_items_punctuation_and_unspaced_scripts(spark):
@@ -419,8 +421,8 @@ def test_op8_short_items_punctuation_and_unspaced_scripts(spark):
         items.append((n, " ".join(w)))
         for k in (n // 5, n // 5 + 1):
             rows += [(k * 100 + n, "before " + " ".join("other" if i in gone else x for i, x in enumerate(w)) + " after") for gone in itertools.combinations(range(n), k)]
-    items += [(20, "机器学习模型的训练数据不应包含测试题目"), (21, "この問題は学習データに含まれてはならない"), (22, "ข้อมูลทดสอบต้องไม่อยู่ในชุดฝึก"), (23, "one two three four five six"), (24, "你好世界")]
-    rows += [(1020, "他说：“机器学习模型的训练数据不应包含考试题目。”然后"), (1021, "「この問題は学習データに含まれてはならない」と。"), (1022, "ก" + items[-3][1] + "ข abc"), (1023, "«one two—three “four” five…six»"), (2024, "你好世界")]
+    items += [(20, "机器学习模型的训练数据不应包含测试题目"), (21, "この問題は学習データに含まれてはならない"), (22, "ข้อมูลทดสอบต้องไม่อยู่ในชุดฝึก"), (23, "one two three four five six"), (24, "你好世界"), (25, "two words"), (26, "alone")]
+    rows += [(1020, "他说：“机器学习模型的训练数据不应包含考试题目。”然后"), (1021, "「この問題は学習データに含まれてはならない」と。"), (1022, "ก" + items[-5][1] + "ข abc"), (1023, "«one two—three “four” five…six»"), (1024, "说你好世界。"), (2024, "你好地界"), (1025, "only two Words!"), (2025, "two other words"), (1026, "not ALONE?"), (2026, "lone")]
     df, it = spark.createDataFrame(rows, DOC), spark.createDataFrame(items, "item_id long, text string")
     want = collections.Counter((d, d % 100) for d, _ in rows if d >= 1000 and d < 2000 or d < 1000 and d // 100 == d % 100 // 5)
     for limit in (decontaminate.BROADCAST_CHARS, 0):
@@ -467,6 +469,90 @@ def test_op8_texts_that_repeat_themselves(spark, monkeypatch):
     assert out.columns == df.columns and [tuple(r)[2:] for r in out.collect()] == [("x",) * 4]
 
 
+def test_op8_against_brute_force_over_given_documents(spark):
+    """Every document against every item over sf0.001: the longest stretch of any diagonal that shares four words or more."""
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    it = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()
+    values = lambda t: decontaminate.tokens(np.frombuffer((t or "").lower().encode(), np.uint8), np.array([0, len((t or "").lower().encode())]))[0]
+    items = {r["item_id"]: values(r["text"]) for r in it}
+    where = collections.defaultdict(list)
+    for i, v in items.items():
+        for p, x in enumerate(v.tolist()):
+            where[x].append((i, p))
+    want = {}
+    for r in d:
+        v = values(r["text"])
+        shared = collections.Counter((i, at - p) for at, x in enumerate(v.tolist()) for i, p in where.get(x, ()))
+        for (i, diagonal), n in shared.items():
+            if n >= 4 and (x := decontaminate.overlap(v, items[i], diagonal, 0.8, 12)):
+                want[r["doc_id"], i] = max(x[2], want.get((r["doc_id"], i), 0))
+    for limit in (decontaminate.BROADCAST_CHARS, 0):
+        got = decontaminate.matches(*(spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark")), broadcast_chars=limit).collect()
+        assert {(r["doc_id"], r["item_id"]): r["n_words"] for r in got} == want and len(want) > 2
+
+
+def twins(n):
+    """Two words of 2**n letters, each the other's complement: for every q they have one polynomial hash modulo 2**64."""
+    a = "a"
+    for _ in range(n):
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [10, 12])
+def test_words_that_collide_modulo_a_power_of_two(spark, n):
+    a, b = twins(n)
+    rest = [f"w{i}" for i in range(34)]
+    df = spark.createDataFrame([(1, " ".join([a, *rest])), (2, " ".join([b, *rest])), (3, "other words")], DOC)
+    assert {tuple(r) for r in rlz.report(df).select("doc_id", "n_removed").collect()} == {(1, 0), (2, 0), (3, 0)}
+    short = spark.createDataFrame([(1, f"{a} x y z w"), (2, f"{b} x y z w")], DOC)
+    assert {tuple(r) for r in ngram_join.report(short).select("doc_id", "n_links").collect()} == {(1, 0), (2, 0)}
+    assert ngram_join.one_each(short).count() == 2
+    assert {tuple(r) for r in suffix_dedup.report(spark.createDataFrame([(1, a), (2, b)], DOC), len(a)).select("doc_id", "n_removed").collect()} == {(1, 0), (2, 0)}
+    held, trained = ([i for i in range(200) if (zlib.crc32(str(i).encode()) % 10 == 0) == kind] for kind in (True, False))
+    known = {r["doc_id"]: r["n_known"] for r in lm.report(spark.createDataFrame([(held[0], b), (held[1], a), (trained[0], a), (trained[1], a)], DOC)).collect()}
+    assert (known[held[0]], known[held[1]]) == (1, 2)  # the end, and the word where it is known
+    it = spark.createDataFrame([(7, f"{a} one two three four")], "item_id long, text string")
+    for limit in (decontaminate.BROADCAST_CHARS, 0):
+        got = decontaminate.matches(spark.createDataFrame([(1, f"{b} one two three four"), (2, f"{a} one two three four")], DOC), it, broadcast_chars=limit).collect()
+        assert {(r["doc_id"], r["n_same"]) for r in got} == {(1, 4), (2, 5)}
+
+
+def test_op1_op3_unit_sequences_that_collide_modulo_a_power_of_two(spark):
+    """The same letters as words, in windows that long."""
+    a, b = (" ".join(x) for x in twins(10))
+    df = spark.createDataFrame([(1, a), (2, b)], DOC)
+    assert {tuple(r) for r in rlz.report(df, 1024).select("doc_id", "n_removed").collect()} == {(1, 0), (2, 0)}
+
+
+def test_op1_op3_very_long_texts(spark):
+    """Texts beyond what is worked on at once: over 524,288 words and bytes, with passages across the cuts."""
+    r = random.Random(5)
+    words = [f"{r.randrange(10**6):x}" for _ in range(600_000)]
+    long, copy = " ".join(words), " ".join(words[524_200:524_400])
+    rows = [(1, long), (2, f"x {copy} y"), (3, None)]
+    df = spark.createDataFrame(rows, DOC)
+    got = {x["doc_id"]: (x["n_words"], x["n_removed"]) for x in rlz.report(df).collect()}
+    assert got == {1: (600_000, 200), 2: (202, 200), 3: (0, 0)}
+    got = {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"]) for x in suffix_dedup.report(df).collect()}
+    n = len(copy) + 2  # the blanks at both ends belong to it
+    assert got == {1: (len(long), n, 1), 2: (len(copy) + 4, n, 1), 3: (0, 0, 0)}
+
+
+def test_few_partitions_change_nothing(spark, docs, monkeypatch):
+    """Above the ceiling a task takes several groups."""
+    rows = lambda f: sorted("|".join(f"{x:.9g}" if isinstance(x, float) else str(x) for x in r) for r in f(docs).collect())
+    want = [rows(f) for f in (lm.report, ngram_join.report)]
+    monkeypatch.setattr("sieveline.llm._spark.MOST_PARTS", 1)
+    monkeypatch.setattr("sieveline.llm.lm.GROUP", 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert [rows(f) for f in (lm.report, ngram_join.report)] == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_op8_overlap_is_the_longest():
     r = random.Random(0)
     for _ in range(300):
