@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, langid, lm, ngram_join, rlz, suffix_dedup, vector_dedup, warc
+from . import align, bpe, chat, decontaminate, fim, langid, lm, ngram_join, rlz, suffix_dedup, url_filter, vector_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +54,31 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op4_ngram_join, op5_lm_scores, op6_warc_zip, op7_bpe, op8_decontaminate, op9_vector_dedup, op10_langid)}
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.report(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+RULES = (
+    url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "example.org", "/es/"), url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"), url_filter.Rule("block", "com", "/de/"),
+)
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), RULES)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_rlz_dedup, op2_chat_format, op3_suffix_dedup, op4_ngram_join, op5_lm_scores, op6_warc_zip, op7_bpe, op8_decontaminate, op9_vector_dedup, op10_langid,
+        op11_tokenizer_alignment, op12_url_filter, op13_fill_in_middle,
+    )
+}
 
 #: Words by explicit code points; a window is its words joined by one space.
 _OP1 = r"""
@@ -164,4 +188,75 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM e JOIN c ON c.a = e.rid LEFT JOIN k ON k.a = e.rid
 """
 
-ORACLES = {"op4_ngram_join": _OP4, "op9_vector_dedup": _OP9, "op6_warc_zip": _OP6, "op1_rlz_dedup": _OP1, "op3_suffix_dedup": _OP3, "op2_chat_format": _OP2}
+#: Units as a list; digits of the hash by groups of eight.
+_OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || substr(x, 1, 8) AS BIGINT) % (len(u) + 1) AS c1, CAST('0x' || substr(x, 9, 8) AS BIGINT) % (len(u) + 1) AS c2,
+         t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(x, 17, 8) AS BIGINT) % 100 >= 50 AS plain,
+         CAST('0x' || substr(x, 25, 8) AS BIGINT) % 100 < 80 AS spm FROM d),
+p AS (
+  SELECT *, array_to_string(u[1:least(c1, c2)], '') AS pre, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS mid,
+         array_to_string(u[greatest(c1, c2) + 1:n], '') AS suf FROM h)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN length(pre) END AS prefix_chars, CASE WHEN NOT plain THEN length(mid) END AS middle_chars,
+       sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def _op12() -> str:
+    """The tree level by level: g are the paths with their nodes, k a level's children, q their purities."""
+    u = url_filter
+    fits = " UNION ALL ".join(f"SELECT '{r.host}' AS rh, '{r.path}' AS rp, '{r.verdict}' AS rv" for r in RULES)
+    head = rf"""
+WITH r AS ({fits}),
+p AS (
+  SELECT row_number() OVER () AS rid, page_id, translate(regexp_extract(coalesce(url, ''), '{u.URL}', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '{u.URL}', 2) AS path FROM pages),
+m AS (
+  SELECT rid, arg_max(rh || rp, length(rh || rp) * 1000 + length(rh)) AS rule, arg_max(rv, length(rh || rp) * 1000 + length(rh)) AS ruling
+  FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY rid),
+f AS (
+  SELECT *, CASE WHEN len(every) > {u.DEPTH} THEN list_append(every[1:{u.DEPTH}], '**') ELSE every END AS segs FROM (
+    SELECT page_id, host, path, rule, ruling, list_transform(string_split(regexp_replace(path, '^/', ''), '/'),
+      lambda s: CASE WHEN regexp_full_match(s, '[0-9a-fA-F-]{{16,}}') THEN '{{x}}' ELSE regexp_replace(s, '[0-9]+', '{{n}}', 'g') END) AS every
+    FROM p LEFT JOIN m USING (rid))),
+g0 AS (SELECT host, segs, '' AS node, [''] AS path_nodes, count(*) AS n, count(ruling) AS l, count(*) FILTER (WHERE ruling = 'block') AS b FROM f GROUP BY host, segs),
+c AS (SELECT coalesce(sum(b) / nullif(sum(l), 0), 0) AS corpus FROM g0)"""
+    parts, depth = [head], u.DEPTH + 1
+    for i in range(1, depth + 1):
+        parts.append(f"""
+s{i} AS (SELECT host, node, segs[{i}] AS seg, sum(n) AS kid FROM g{i - 1} WHERE len(segs) >= {i} GROUP BY ALL HAVING sum(n) < {u.COMMON}),
+v{i} AS (SELECT host, node FROM s{i} GROUP BY ALL HAVING count(*) >= {u.KIDS}),
+w{i} AS (SELECT host, node, seg FROM s{i} JOIN v{i} USING (host, node)),
+g{i} AS MATERIALIZED (
+  SELECT g.host, segs, CASE WHEN len(segs) < {i} THEN g.node ELSE g.node || '/' || CASE WHEN w.seg IS NULL THEN segs[{i}] ELSE '*' END END AS node,
+         CASE WHEN len(segs) < {i} THEN path_nodes ELSE list_append(path_nodes, g.node || '/' || CASE WHEN w.seg IS NULL THEN segs[{i}] ELSE '*' END) END AS path_nodes, n, l, b
+  FROM g{i - 1} g LEFT JOIN w{i} w ON w.host = g.host AND w.node = g.node AND w.seg = g.segs[{i}])""")
+    parts.append(f"q0 AS (SELECT host, '' AS node, sum(l) AS l, sum(b) AS b, (sum(b) + {u.WEIGHT} * corpus) / (sum(l) + {u.WEIGHT}) AS purity FROM g{depth}, c GROUP BY host, corpus)")
+    for i in range(1, depth + 1):
+        parts.append(f"""
+k{i} AS (
+  SELECT x.*, q.purity AS above, coalesce(q.b > 0 AND q.b < q.l AND x.l > 0 AND q.l > x.l AND abs(x.b / nullif(x.l, 0) - (q.b - x.b) / nullif(q.l - x.l, 0))
+         >= {u.Z} * sqrt(q.b / nullif(q.l, 0) * (1 - q.b / nullif(q.l, 0)) * (1 / nullif(x.l, 0) + 1 / nullif(q.l - x.l, 0))), FALSE) AS apart
+  FROM (SELECT host, path_nodes[{i}] AS parent, path_nodes[{i + 1}] AS node, sum(l) AS l, sum(b) AS b FROM g{depth} WHERE len(path_nodes) > {i} GROUP BY ALL) x
+  JOIN q{i - 1} q ON q.host = x.host AND q.node = x.parent),
+o{i} AS (SELECT host, parent, sum(l) AS l, sum(b) AS b FROM k{i} WHERE NOT apart GROUP BY ALL),
+q{i} AS (
+  SELECT k.host, k.node, k.l, k.b, CASE WHEN apart THEN (k.b + {u.WEIGHT} * above) / (k.l + {u.WEIGHT}) ELSE (o.b + {u.WEIGHT} * above) / (o.l + {u.WEIGHT}) END AS purity
+  FROM k{i} k LEFT JOIN o{i} o ON o.host = k.host AND o.parent = k.parent)""")
+    every = " UNION ALL ".join(f"SELECT host, node, purity FROM q{i}" for i in range(depth + 1))
+    parts.append(f"z AS (SELECT g.host, g.segs, q.purity FROM g{depth} g JOIN ({every}) q ON q.host = g.host AND q.node = g.node)")
+    return ",\n".join(parts) + f"""
+SELECT page_id, f.host, path, rule, coalesce(ruling, CASE WHEN purity >= {u.REJECT} - 1e-9 THEN 'block' ELSE 'allow' END) AS verdict
+FROM f LEFT JOIN z ON z.host = f.host AND z.segs = f.segs
+"""
+
+
+ORACLES = {
+    "op1_rlz_dedup": _OP1, "op2_chat_format": _OP2, "op3_suffix_dedup": _OP3, "op4_ngram_join": _OP4, "op6_warc_zip": _OP6, "op9_vector_dedup": _OP9, "op12_url_filter": _op12(), "op13_fill_in_middle": _OP13,
+}
