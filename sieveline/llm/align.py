@@ -31,9 +31,9 @@ import hashlib
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ from ._units import in_slices, tidy
 
 CHUNK, STRIPES, GROUP = 4 << 20, 128, 512
 #: A worker that remembers more units than this at the end of a chunk starts anew.
-REMEMBER = 150_000
+REMEMBER = 400_000
 
 BLANK, CUT, CLOSE = "▁", re.compile(r"(?<=\S)(?= )"), re.compile(r"\s ")
 
@@ -64,21 +64,34 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def aligned(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]) -> tuple[list[tuple[int, int]], list[str]]:
-    """(pairs of overlapping tokens, groups as text) of two sequences of ids over the same bytes."""
+def aligned(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> tuple[list[int], list[str]]:
+    """(overlapping tokens as b << 32 | a, groups as text) of two sequences of ids over the same bytes, with their sizes."""
     pairs, groups = [], []
     i = j = i0 = j0 = 0
-    while i < len(a):
-        pairs.append((a[i], b[j]))
-        x, y = a_ends[i], b_ends[j]
-        if x == y:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-            i0, j0 = i, j
-        elif x < y:
+    gap = 0  # how far A's open token ends beyond B's
+    n = len(a)
+    while i < n:
+        x, y = a[i], b[j]
+        gap = a_sizes[i] - b_sizes[j]
+        if not gap:  # one token each, as most are
+            pairs.append(y << 32 | x)
+            groups.append(f"{x}|{y}")
             i += 1
-        else:
             j += 1
+            continue
+        i0, j0 = i, j
+        while gap:
+            pairs.append(b[j] << 32 | a[i])
+            if gap < 0:
+                i += 1
+                gap += a_sizes[i]
+            else:
+                j += 1
+                gap -= b_sizes[j]
+        pairs.append(b[j] << 32 | a[i])
+        i += 1
+        j += 1
+        groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
     return pairs, groups
 
 
@@ -106,8 +119,7 @@ class Aligner:
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.text: list[bytes] = []
-        self.ids: list[tuple[list[int], list[int]]] = []
-        self.figures: list[tuple[int, int, int, int]] = []
+        self.first, self.pairs, self.figures = array("q", [0]), array("q"), array("i")
         self.bad: set[int] = set()
 
     def units(self, text: str) -> list[str]:
@@ -120,16 +132,19 @@ class Aligner:
         """B reads a unit after an `a`, so that it stands as in the text."""
         a = [x.ids for x in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
         b = [x[self.head :] for x in self.b.encode(["a " + u for u in units], num_threads=1)] if self.in_units else self.b.encode(units, num_threads=1)
+        a_bytes, b_bytes, k = self.a_bytes, self.b_bytes, len(self.text)
         for unit, x, y in zip(units, a, b, strict=True):
-            own, xs, ys = b" " + unit.encode(), [self.a_bytes[i] for i in x], [self.b_bytes[i] for i in y]
-            self.index[unit] = k = len(self.text)
+            own, xs, ys = f" {unit}".encode(), [a_bytes[i] for i in x], [b_bytes[i] for i in y]
+            self.index[unit] = k
             if b"".join(xs) != own or b"".join(ys) != own:
                 self.bad.add(k)
                 x = y = []
-            pairs, groups = aligned(x, y, [*accumulate(map(len, xs))], [*accumulate(map(len, ys))])
+            pairs, groups = aligned(x, y, list(map(len, xs)), list(map(len, ys)))
             self.text.append(";".join(groups).encode())
-            self.ids.append(([p for p, _ in pairs], [q for _, q in pairs]))
-            self.figures.append((len(x), len(y), len(groups), len(pairs)))
+            self.pairs.extend(pairs)
+            self.first.append(len(self.pairs))
+            self.figures.extend((len(x), len(y), len(groups), len(pairs)))
+            k += 1
 
     def __call__(self, text: str) -> list[int]:
         """Places of a text's units; none where it isn't given back byte by byte. They hold until `forget`."""
@@ -191,18 +206,18 @@ class Chunk:
         chunk, n = uuid.uuid4().int >> 65, len(self.ids)
         what, often, who = np.concatenate(self.what), np.concatenate(self.often), np.repeat(np.arange(n), [len(x) for x in self.what])
         distinct, what = np.unique(what, return_inverse=True)
-        own = np.array([work.figures[k] for k in distinct.tolist()], np.int64).reshape(-1, 4)
+        own = np.frombuffer(work.figures, np.int32).reshape(-1, 4)[distinct].astype(np.int64) if len(distinct) else np.zeros((0, 4), np.int64)
         figures = np.zeros((n, 4), np.int64)
         np.add.at(figures, who, own[what] * often[:, None])
         known = np.array([i is not None for i in self.ids])
         doc_ids = np.array([i or 0 for i in self.ids], np.int64).view(np.uint64)
         head = _press(doc_ids, known, np.array([bool(s) for s in self.sha]), *figures.T)
         out = [(chunk, -1, len(head).to_bytes(8, "little") + head + "".join(self.sha).encode(), None, None)]
-        first = np.concatenate([[0], np.cumsum(own[:, 3])])
-        a, b = (np.fromiter((x for k in distinct.tolist() for x in work.ids[k][side]), np.int64, int(first[-1])) for side in (0, 1))
         times = own[what, 3]
-        at = np.repeat(first[what] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
-        row, col = b[at], a[at]
+        first = np.array(work.first)[distinct[what]] if len(distinct) else times
+        at = np.repeat(first - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+        pair = np.array(work.pairs)[at] if len(at) else np.zeros(0, np.int64)
+        row, col = pair >> 32, pair & 0xFFFFFFFF
         # stripe, document, row of the block, column: 8, 24, 12 and 20 bits at most
         code = (row % stripes).astype(np.uint64) << np.uint64(56) | np.repeat(who, times).astype(np.uint64) << np.uint64(32) | ((row // stripes) << 20 | col).astype(np.uint64)
         order = np.argsort(code)
