@@ -12,6 +12,7 @@ from ..functions.keys import halves, unused
 from ..functions.text import Key, md5_key, strip_key
 from ..sources.tables import settled
 from .dedup import key_hashes, keep_first, rank_first
+from .keystore import keyed
 
 
 def first_of_label(df: DataFrame, need: DataFrame, label: str, most: int, order: str = "_ord") -> DataFrame:
@@ -49,24 +50,45 @@ def balance(main: DataFrame, sources: Sequence[tuple[str, DataFrame]], labels: S
 def quota_select(pool: DataFrame, plan: Sequence[tuple[str, Sequence[str], int, float]], text: str, flags: Sequence[str], seed: int = 42, key: Key = md5_key) -> DataFrame:
     """Rows for each (label, flags_any, need, ratio) in turn: those with any of the flags whose key no earlier label took;
     duplicates within a label stay. A ratio of 999 or more takes all; else int(need * ratio) by a seeded hash order."""
-    p = pool.withColumn("__key", key(F.col(text)))
+    p, h1, h2 = keyed(pool, key(F.col(text)))
     used = taken = None
     for label, any_of, need, ratio in plan:
         c = p.where(F.greatest(*[F.coalesce(F.col(f), F.lit(0)) for f in any_of], F.lit(0)) == 1)
         if used is not None:
-            c = c.join(used, "__key", "left_anti")
+            c = c.join(used, [h1, h2], "left_anti")
         if ratio < 999:
-            c = sample_up_to(c, int(need * ratio), F.col("__key"), seed)
+            c = sample_up_to(c, int(need * ratio), key(F.col(text)), seed)
         c = settled(c.withColumn("target_label", F.lit(label)), "quota")
         taken = c if taken is None else taken.unionByName(c)
-        used = c.select("__key") if used is None else used.unionByName(c.select("__key"))
-    return taken.drop("__key")
+        used = taken.select(h1, h2).distinct()
+    return taken.drop(h1, h2)
 
 
 def sample_up_to(df: DataFrame, n: int, key: Column, seed: int = 42, order: str = "_ord") -> DataFrame:
-    """n rows without replacement in the order of md5(key, seed); all where there are fewer. The same on every engine."""
-    lot = F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))
-    return df.withColumn("__lot", lot).orderBy("__lot", order).limit(n).drop("__lot")
+    """n rows without replacement in the order of md5(key, seed); all where there are fewer. The same on every engine.
+
+    By threshold (`first_by`), so that no task gathers the n rows."""
+    (lot,) = unused(df, "lot")
+    return first_by(df.withColumn(lot, F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))), n, lot, order).drop(lot)
+
+
+def first_by(df: DataFrame, n: int, lot: str, order: str) -> DataFrame:
+    """The first n rows by (lot, order), lot being a text of hexadecimal digits that are spread evenly.
+
+    Rows are counted by the lot's first digits (4,096 groups, with map-side combining). The group that the n-th row falls into
+    is the boundary: groups before it are taken whole by a filter, of it the rows that are missing are taken in order. Equal
+    (lot, order) are told apart in no fixed way."""
+    if n <= 0:
+        return df.limit(0)
+    counts = sorted((r[0] or "", r[1]) for r in df.groupBy(F.substring(lot, 1, 3)).agg(F.count("*")).collect())  # 4,097 rows at most
+    before = 0
+    for digits, m in counts:
+        if before + m > n:
+            head = F.coalesce(F.substring(lot, 1, 3), F.lit(""))
+            rest = df.where(head == digits).orderBy(lot, order).limit(n - before)
+            return df.where(head < digits).unionByName(rest)
+        before += m
+    return df
 
 
 def split_main_overflow(rows: DataFrame, need: Mapping[str, int], label: str, key: str, order: str = "_ord") -> DataFrame:

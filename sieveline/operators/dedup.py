@@ -106,8 +106,8 @@ def cap_per_flag(df: DataFrame, flags: Sequence[str], cap: int, order: str = "_o
     return df.join(picked, order, "left_semi")
 
 
-def first_failures(df: DataFrame, bad: Column, run: int, order: str = "_ord") -> DataFrame:
-    """stop_at: the order of the row at which `run` bad rows in succession are complete; null where there is no such run.
+def failed_run(df: DataFrame, bad: Column, run: int, order: str) -> DataFrame:
+    """start_at and stop_at: the orders of the first and the last of the first `run` bad rows in succession, null for none.
 
     Rows are dealt by ranges of the order. Each range is numbered by itself; numbers become global by the counts of the
     ranges before, a row a range. A run is then a group of equal difference between a bad row's number among all and its
@@ -121,5 +121,17 @@ def first_failures(df: DataFrame, bad: Column, run: int, order: str = "_ord") ->
     counted = d.withColumns({"n": F.row_number().over(W.partitionBy("range").orderBy("ord")), "b": F.sum(F.col("bad").cast("long")).over(own)}).where("bad")
     at = counted.join(F.broadcast(per), "range").select("ord", (F.col("n") + F.col("n0")).alias("n"), (F.col("b") + F.col("b0")).alias("b"))
     runs = at.groupBy((F.col("n") - F.col("b")).alias("island")).agg(F.count("*").alias("size"), F.min("n").alias("first")).where(F.col("size") >= run)
-    stop = runs.agg((F.min("first") + run - 1).alias("n"))  # one row
-    return at.join(F.broadcast(stop), "n").agg(F.min("ord").alias("stop_at"))
+    ends = runs.agg(F.min("first").alias("first")).select(F.explode(F.array("first", F.col("first") + run - 1)).alias("n"))  # two rows
+    return at.join(F.broadcast(ends.distinct()), "n").agg(F.min("ord").alias("start_at"), F.max("ord").alias("stop_at"))
+
+
+def first_failures(df: DataFrame, bad: Column, run: int, order: str = "_ord") -> DataFrame:
+    """stop_at: the order of the row at which `run` bad rows in succession are complete; null where there is no such run."""
+    return failed_run(df, bad, run, order).select("stop_at")
+
+
+def until_failures(df: DataFrame, bad: Column, run: int, order: str = "_ord") -> DataFrame:
+    """A circuit breaker: the rows before the first `run` bad ones in succession, which go with all that comes after; all
+    rows where there is no such run. The place is found first, so that the filter on the order reaches the scan."""
+    start = failed_run(df, bad, run, order).first()["start_at"]  # one row
+    return df if start is None else df.where(F.col(order) < F.lit(start))

@@ -74,6 +74,12 @@ def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str]) -> DataFr
     return named.groupBy(row).pivot("c", [*values, "All"]).agg(F.sum("n")).na.fill(0)
 
 
+def crosstab_long(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Counts by row and column as one row each, with margins named All, for any number of columns."""
+    c = df.cube(row, col).agg(F.count("*").alias("n"), F.grouping(row).alias("gr"), F.grouping(col).alias("gc"))
+    return c.select(F.when(F.col("gr") == 1, "All").otherwise(F.col(row)).alias(row), F.when(F.col("gc") == 1, "All").otherwise(F.col(col)).alias(col), "n")
+
+
 def add_groups(df: DataFrame, source: str, groups: Mapping[str, str], other: str = "other") -> DataFrame:
     m = F.create_map(*[F.lit(x) for kv in groups.items() for x in kv])
     return df.withColumn("source_group", F.coalesce(m[F.col(source)], F.lit(other)))

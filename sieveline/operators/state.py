@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import unused
 from ..functions.text import Key, lower_key
-from ..sources.tables import settled
-from .dedup import exclude, exclude_ids, keep_first
-from .merge import distribution
+from ..sources.tables import finished, path_exists, settled, work_path
+from .dedup import exclude_ids, keep_first
+from .keystore import KeyStore, keyed
 
 
 def remaining(df: DataFrame, done: DataFrame | None, id_col: str) -> DataFrame:
@@ -20,8 +22,9 @@ def remaining(df: DataFrame, done: DataFrame | None, id_col: str) -> DataFrame:
 
 def before_first(df: DataFrame, incomplete: Column, order: str) -> DataFrame:
     """Strict mode: the rows before the first incomplete one, all where there is none."""
-    stop = df.where(incomplete).agg(F.min(order).alias("__stop"))
-    return df.crossJoin(F.broadcast(stop)).where(F.col("__stop").isNull() | (F.col(order) < F.col("__stop"))).drop("__stop")  # one row
+    (at,) = unused(df, "stop")
+    stop = df.where(incomplete).agg(F.min(order).alias(at))
+    return df.crossJoin(F.broadcast(stop)).where(F.col(at).isNull() | (F.col(order) < F.col(at))).drop(at)  # one row
 
 
 def last_attempt(log: DataFrame, keys: Sequence[str], attempt: str) -> DataFrame:
@@ -44,25 +47,62 @@ def next_label(gaps: DataFrame, label: str, gap: str, order: Sequence[str], batc
     return best.select("b.label", F.col("b.gap").alias("gap"), F.least(F.lit(batch), F.greatest("b.gap", F.lit(5))).cast("long").alias("ask"))
 
 
+_ROUND = re.compile(r"round-(\d{10})$")
+
+
 def fill_to_target(
     main: DataFrame, ask: Callable[[str, int, int], DataFrame], labels: Sequence[str], target: int, max_rounds: int, batch: int,
-    accept: Callable[[DataFrame, str], DataFrame] = lambda rows, label: rows, label: str = "final_category", text: str = "clean_text", key: Key = lower_key,
+    accept: Callable[[DataFrame, str], DataFrame] = lambda rows, label: rows, label: str = "final_category", text: str = "clean_text", key: Key = lower_key, root: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Generates until each label has `target` rows or max_rounds are over: (main with the new rows, rounds made).
 
-    Each round counts the gaps anew, asks for up to `batch` rows of the label with the largest one (the first of the list on
-    ties), keeps those that `accept` lets through and whose key is new, and writes them. ask(label, n, round) gives rows with
-    text and _ord; the loop itself sees one row a label."""
-    now, rounds = main, 0
-    while rounds < max_rounds:
-        pick = next_label(distribution(now, label, labels, target), label, "gap", labels, batch).first()
-        if pick is None:
+    Each round asks for up to `batch` rows of the label with the largest gap (the first of the list on ties), keeps those that
+    `accept` lets through and whose key is new, and writes them. ask(label, n, round) gives rows with text and _ord.
+
+    main is read once, for the counts of its labels and its keys; both are then kept up by what a round brings, so that a
+    round costs its own rows: its keys look up their buckets of the key store, its rows are counted and added. With a root of
+    the caller's, rounds that are there count, and a run that died goes on after the last whole one (main unchanged)."""
+    spark = main.sparkSession
+    root = root or work_path(spark, "fill")
+    store = KeyStore(spark, f"{root}/keys")
+    if not path_exists(spark, f"{root}/counts/_SUCCESS"):
+        m, h1, h2 = keyed(main.select(label, text), key(F.col(text)))
+        narrow = settled(m.select(label, F.col(h1).alias("h1"), F.col(h2).alias("h2"), (key(F.col(text)) == "").alias("blank")), "narrow")
+        store.add(0, narrow.where("NOT blank"))
+        narrow.where(F.col(label).isin(*labels)).groupBy(label).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{root}/counts")
+    counts = dict.fromkeys(labels, 0) | {r[label]: r["n"] for r in spark.read.parquet(f"{root}/counts").collect()}  # a row a label
+    done = finished(spark, root, _ROUND)
+    if done:
+        for r in _rounds(spark, done).groupBy(label).agg(F.count("*").alias("n")).collect():
+            counts[r[label]] += r["n"]
+        last = done[-1]  # its keys may not have been added yet
+        store.add(last[0] + 1, _keys(spark.read.parquet(last[1])))
+    while len(done) < max_rounds:
+        name = max(labels, key=lambda x: target - counts[x], default=None)
+        gap = target - counts[name] if name is not None else 0
+        if gap <= 0:
             break
-        rows = accept(ask(pick["label"], pick["ask"], rounds).withColumn(label, F.lit(pick["label"])), pick["label"])
-        fresh = exclude(keep_first(rows, key(F.col(text))), now, text, key=key).orderBy("_ord").limit(pick["gap"])
-        now = now.unionByName(settled(fresh, "round"), allowMissingColumns=True)
-        rounds += 1
-    return now, rounds
+        k = len(done)
+        rows = accept(ask(name, min(batch, max(gap, 5)), k).withColumn(label, F.lit(name)), name)
+        rows, h1, h2 = keyed(keep_first(rows, key(F.col(text))), key(F.col(text)))
+        named = rows.withColumnsRenamed({h1: "__h1", h2: "__h2"}).withColumn("__blank", key(F.col(text)) == "")
+        fresh = store.unseen(settled(named, "candidates"), "__h1", "__h2", k + 1).orderBy("_ord").limit(gap)
+        path = f"{root}/round-{k:010d}"
+        fresh.write.mode("overwrite").parquet(path)
+        done.append((k, path))
+        got = spark.read.parquet(path)
+        counts[name] += got.count()
+        store.add(k + 1, _keys(got))
+        store.compact()
+    return (main.unionByName(_rounds(spark, done).drop("__h1", "__h2", "__blank"), allowMissingColumns=True) if done else main), len(done)
+
+
+def _rounds(spark: SparkSession, done: list[tuple[int, str]]) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(*[p for _, p in done])
+
+
+def _keys(got: DataFrame) -> DataFrame:
+    return got.where("NOT __blank").select(F.col("__h1").alias("h1"), F.col("__h2").alias("h2"))
 
 
 def run_status(report: DataFrame, target: int, max_retry: int) -> DataFrame:

@@ -94,14 +94,9 @@ def f8_corpus_summary(spark: SparkSession, d: str) -> DataFrame:
     return merge.corpus_summary(_merged(spark, d), F3, 5000)
 
 
-_SOURCES = tuple(f"src{i}" for i in range(20))
-
-
-@query("SELECT coalesce(label, 'All') AS label, " + ", ".join(f"CAST(count(*) FILTER (WHERE source = '{s}') AS BIGINT) AS {s}" for s in _SOURCES) + ", count(*) AS \"All\" FROM posts GROUP BY ROLLUP (label)")
+@query("SELECT CASE WHEN grouping(label) = 1 THEN 'All' ELSE label END AS label, CASE WHEN grouping(source) = 1 THEN 'All' ELSE source END AS source, count(*) AS n FROM posts GROUP BY CUBE (label, source)")
 def f9_crosstab(spark: SparkSession, d: str) -> DataFrame:
-    p = posts(spark, d)
-    others = {r[0] for r in p.select("source").distinct().collect()} - {*_SOURCES}
-    return merge.crosstab(p, "label", "source", [*_SOURCES, *sorted(others - {None}), *(others & {None})])
+    return merge.crosstab_long(posts(spark, d), "label", "source")
 
 
 @query("SELECT label, count(DISTINCT key) AS unique_texts FROM posts WHERE key <> '' GROUP BY label")
@@ -223,7 +218,7 @@ SELECT label, o + i * 3 AS final_total_count, greatest(125 - (o + i * 3), 0) AS
   CASE WHEN o >= 125 THEN 'already_enough' WHEN o + i * 3 >= 125 THEN 'completed' WHEN i >= 7 THEN 'not_enough_after_retry' WHEN i % 2 = 0 THEN 'failed_parse' ELSE 'error' END AS status FROM c
 """)
 def f21_status(spark: SparkSession, d: str) -> DataFrame:
-    c = posts(spark, d).groupBy("label").agg(F.count_distinct(tx.lower_key("clean_text")).alias("original_unique_count"), F.substring("label", 2, 2).cast("long").alias("i"))
+    c = posts(spark, d).groupBy("label").agg(F.count_distinct(*halves(tx.lower_key("clean_text"))).alias("original_unique_count"), F.substring("label", 2, 2).cast("long").alias("i"))
     r = c.select("label", "original_unique_count", (F.col("i") * 3).alias("accepted_main_count"), F.col("i").alias("retry_count"), (1 - F.col("i") % 2).alias("parse_error_count"), F.lit(0).alias("generated_request_count"))
     return state.run_status(r, 125, 7).select("label", "final_total_count", "gap_remaining", "status")
 
@@ -519,6 +514,21 @@ def n9_rebuild_final(spark: SparkSession, d: str) -> DataFrame:
     return dedup.keep_first(ok, tx.lower_key("clean_text")).select("_ord")
 
 
+@query(f"SELECT min(_ord) AS _ord FROM posts WHERE label IN ('L1', 'L2', 'L3') AND length({sql_norm('clean_text')}) BETWEEN 40 AND 2000 GROUP BY key")
+def n9_rebuild_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same from a stream of log files in order, a second a row."""
+    root = io.work_path(spark, "rebuild")
+    p = posts(spark, d).select("_ord", "clean_text", "label", F.timestamp_seconds("_ord").alias("at"))
+    top = (p.agg(F.max("_ord")).first()[0] or 0) + 1
+    for part in range(3):
+        io.append_log(p.where((F.col("_ord") * 3 >= part * top) & (F.col("_ord") * 3 < (part + 1) * top)).coalesce(1), f"{root}/log")
+    log = jobs.read_log(spark, f"{root}/log", "_ord long, clean_text string, label string, at timestamp", 1)
+    valid = lambda r: r.where(F.col("label").isin(*LABELS[:3]) & rules.rejection(F.col("clean_text"), F.col("label"), F.col("label"), 40, 2000).isNull())
+    jobs.rebuild_stream(log, valid, "clean_text", "_ord", "at", float(top), root).awaitTermination()
+    rows = jobs.sunk(spark, root)
+    return (rows if rows is not None else p.limit(0)).select("_ord")
+
+
 @query(_REASONS + "SELECT reason, count(*) AS n FROM r GROUP BY reason")
 def n10_sanitise(spark: SparkSession, d: str) -> DataFrame:
     k = tx.lower_key("clean_text")

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import flags as fl
 from ..functions import text as tx
+from ..functions.keys import halves
 from ..operators import dedup
 from ..sources import tables as io
+from ..streaming import jobs
 from ._base import FLAGS, LABELS, SPELLINGS, Registry, flagged, fresh, posts, seen, sql_key, sql_norm, table
 
 query = Registry()
@@ -25,7 +27,9 @@ SELECT language, count(*) AS distinct_unseen, greatest(0, 200 - count(*)) AS sti
 """)
 def flagship_need(spark: SparkSession, d: str) -> DataFrame:
     """How many more distinct, unseen documents each language needs to reach 200."""
-    u = dedup.exclude(dedup.keep_first(fresh(spark, d), KEY()), seen(spark, d), "clean_text")
+    h1, h2 = halves(KEY())
+    first = fresh(spark, d).select(h1.alias("h1"), h2.alias("h2"), F.struct("_ord", "language").alias("x")).groupBy("h1", "h2").agg(F.min("x").alias("x"))
+    u = first.join(dedup.key_hashes(seen(spark, d), KEY()), ["h1", "h2"], "left_anti").select("x.language")  # no text leaves a scan
     return u.groupBy("language").agg(F.count("*").alias("distinct_unseen"), F.greatest(F.lit(200) - F.count("*"), F.lit(0)).alias("still_needed"))
 
 
@@ -65,9 +69,11 @@ def a6_column_pruned(spark: SparkSession, d: str) -> DataFrame:
     return io.read_pruned(spark, f"{d}/documents.parquet", ["doc_id", "source", "absent"])
 
 
-@query("SELECT '' AS content_id, '' AS body WHERE 1 = 0")
+@query("SELECT doc_id, lang FROM documents")
 def a7_missing_scan(spark: SparkSession, d: str) -> DataFrame:
-    return io.read_or_empty(spark, f"{d}/no_such_table.parquet", ["content_id", "body"])
+    """A table that is there beside one that isn't."""
+    both = [io.read_or_empty(spark, f"{d}/{name}.parquet", ["doc_id", "lang"]).select("doc_id", "lang") for name in ("documents", "no_such_table")]
+    return both[0].unionByName(both[1].withColumn("doc_id", F.col("doc_id").cast("long")))
 
 
 @query("SELECT label, count(*) AS n FROM posts WHERE label NOT IN ('L1', 'L2', 'L3') GROUP BY label")
@@ -90,11 +96,12 @@ def a10_multi_path(spark: SparkSession, d: str) -> DataFrame:
     return df.select("item_id", "doc_id", F.regexp_extract("source_file", r"(\w+)\.parquet", 1).alias("origin"))
 
 
-@query("SELECT 'new' AS content_id, 2 AS version")
+@query("SELECT _ord, label, 2 AS version FROM posts")
 def a11_latest_checkpoint(spark: SparkSession, d: str) -> DataFrame:
     root = io.work_path(spark, "found")
-    for name, v in (("old", 1), ("new", 2)):
-        spark.createDataFrame([(name, v)], "content_id string, version int").write.parquet(f"{root}/run_{v}.parquet")
+    p = posts(spark, d).select("_ord", "label")
+    for v, rows in ((1, p.where("label = 'L1'")), (2, p)):
+        rows.withColumn("version", F.lit(v)).write.parquet(f"{root}/run_{v}.parquet")
     return spark.read.parquet(io.latest(spark, f"{root}/run_*.parquet"))
 
 
@@ -415,6 +422,32 @@ def g6_run_detector(spark: SparkSession, d: str) -> DataFrame:
     return dedup.first_failures(table(spark, d, "events"), F.col("value") < 40, 5, "event_id")
 
 
+_BREAK = """
+WITH g AS (SELECT event_id, value < 40 AS bad, sum(CASE WHEN value < 40 THEN 0 ELSE 1 END) OVER (ORDER BY event_id) AS island FROM events),
+r AS (SELECT min(event_id) AS start FROM g WHERE bad GROUP BY island HAVING count(*) >= 9)
+SELECT event_id, value FROM events WHERE event_id < coalesce((SELECT min(start) FROM r), 9e18)
+"""
+
+
+@query(_BREAK)
+def g6_breaker(spark: SparkSession, d: str) -> DataFrame:
+    """The rows kept: those before the failed run, which is dropped."""
+    return dedup.until_failures(table(spark, d, "events").select("event_id", "value"), F.col("value") < 40, 9, "event_id")
+
+
+@query(_BREAK)
+def g6_breaker_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same from a stream of log files, with a run that may go over their ends."""
+    root = io.work_path(spark, "breaker")
+    e = table(spark, d, "events").select("event_id", "value")
+    top = (e.agg(F.max("event_id")).first()[0] or 0) + 1
+    for part in range(4):
+        io.append_log(e.where((F.col("event_id") * 4 >= part * top) & (F.col("event_id") * 4 < (part + 1) * top)).coalesce(1), f"{root}/log")
+    log = jobs.read_log(spark, f"{root}/log", "event_id long, value double", 1)
+    rows, _ = jobs.breaker_rows(jobs.breaker_stream(log, F.col("value") < 40, 9, "event_id", root), spark, root)
+    return rows if rows is not None else e.limit(0)
+
+
 @query("SELECT _ord FROM posts ORDER BY _ord LIMIT 25")
 def h1_limit(spark: SparkSession, d: str) -> DataFrame:
     return posts(spark, d).orderBy("_ord").limit(25).select("_ord")

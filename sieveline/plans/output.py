@@ -40,6 +40,16 @@ def a13_model_calls(spark: SparkSession, d: str) -> DataFrame:
     return providers.call_model(e, _connect, "event_id", "prompt", 2, 0.0).select("event_id", "raw", "error", "attempts")
 
 
+@query("SELECT _ord, upper('classify ' || label || ' of ' || source) AS raw, CAST(NULL AS VARCHAR) AS error FROM posts")
+def a13_call_log(spark: SparkSession, d: str) -> DataFrame:
+    """A13 with a durable log: a prompt is paid for once, here in two runs of which the second finds the first one's answers."""
+    root = io.work_path(spark, "calls")
+    p = posts(spark, d).select("_ord", F.concat(F.lit("classify "), "label", F.lit(" of "), "source").alias("prompt"))
+    connect = lambda: str.upper
+    providers.logged_calls(p.where("_ord % 2 = 0"), connect, "_ord", "prompt", root, 2, 0.0)
+    return providers.logged_calls(p, connect, "_ord", "prompt", root, 2, 0.0).select("_ord", "raw", "error")
+
+
 @query("""
 WITH s AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY _ord) <= CASE label WHEN 'L1' THEN 20 ELSE 35 END AS main
            FROM (SELECT label, min(_ord) AS _ord FROM posts WHERE label IN ('L1', 'L2') GROUP BY label, key))

@@ -45,6 +45,21 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        fs, p = _file_system(spark, path)
+        fs.delete(p, True)
+
+
+def finished(spark: SparkSession, root: str, name: re.Pattern) -> list[tuple[int, str]]:
+    """The numbered folders of root that were written whole, (number, path) in order; the pattern's first group is the number."""
+    fs, p = _file_system(spark, root)
+    if not fs.exists(p):
+        return []
+    found = [(int(m[1]), s.getPath()) for s in fs.listStatus(p) if (m := name.search(s.getPath().getName()))]
+    return sorted((n, at.toString()) for n, at in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _file_system(spark, path)
     return fs.exists(p)
@@ -165,21 +180,20 @@ def write_triple(rows: DataFrame, label: str, target: int, root: str) -> None:
 _VERSION = re.compile(r"(base|delta)-(\d{10})$")
 
 
-def _versions(spark: SparkSession, path: str) -> tuple[list[tuple[int, str, str]], int]:
-    """The whole versions of a checkpoint that count, (number, kind, path) from the last base on, and the highest number there."""
+def _every_version(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
+    """(number, kind, path) of all versions of a checkpoint, in order; kind is empty for one that wasn't written whole."""
     fs, p = _file_system(spark, path)
     if not fs.exists(p):
-        return [], 0
-    found, top = [], 0
-    for status in fs.listStatus(p):
-        at = status.getPath()
-        if m := _VERSION.search(at.getName()):
-            top = max(top, int(m[2]))
-            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")):
-                found.append((int(m[2]), m[1], at.toString()))
-    found.sort()
+        return []
+    found = [(s.getPath(), m) for s in fs.listStatus(p) if (m := _VERSION.search(s.getPath().getName()))]
+    return sorted((int(m[2]), m[1] if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")) else "", at.toString()) for at, m in found)
+
+
+def _versions(spark: SparkSession, path: str) -> tuple[list[tuple[int, str, str]], int]:
+    """The whole versions of a checkpoint that count, from the last base on, and the highest number there."""
+    found = _every_version(spark, path)
     base = max((n for n, kind, _ in found if kind == "base"), default=0)
-    return [x for x in found if x[0] >= base], top
+    return [x for x in found if x[1] and x[0] >= base], max((n for n, _, _ in found), default=0)
 
 
 def read_checkpoint(spark: SparkSession, path: str, key: str, order: str) -> DataFrame | None:
@@ -196,20 +210,21 @@ def read_checkpoint(spark: SparkSession, path: str, key: str, order: str) -> Dat
     return keep_last(both, F.col(key).cast("string"), order)
 
 
-def upsert(spark: SparkSession, path: str, rows: DataFrame, key: str, order: str, compact_every: int = 16) -> DataFrame:
+def upsert(spark: SparkSession, path: str, rows: DataFrame, key: str, order: str, compact_every: int = 16, retain: int = 1) -> DataFrame:
     """Adds rows to a checkpoint, old and new columns by name; the last of each key counts. Returns the checkpoint.
 
     A checkpoint is a folder of numbered versions: a delta holds what one call brought, a base all before it. A version
     counts once its _SUCCESS mark is there, and nothing that counts is touched before what replaces it does, so a run
     that dies at any point leaves the last state. A call costs what it brings; after `compact_every` deltas a new base
-    is written and older versions go. One writer at a time."""
+    is written. What it replaces goes only when the base after it is written, or `retain` bases later: a frame that was
+    returned before a compaction reads its own versions, which the frame names, until then. One writer at a time."""
     from ..operators.dedup import keep_last
 
     versions, top = _versions(spark, path)
     keep_last(rows, F.col(key).cast("string"), order).write.parquet(f"{path}/delta-{top + 1:010d}")
     if sum(kind == "delta" for _, kind, _ in versions) + 1 >= compact_every:
         read_checkpoint(spark, path, key, order).write.parquet(f"{path}/base-{top + 2:010d}")
-        fs, _ = _file_system(spark, path)
-        for _, _, at in [*versions, (0, "", f"{path}/delta-{top + 1:010d}")]:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(at), True)
+        bases = sorted(n for n, kind, _ in _every_version(spark, path) if kind == "base")
+        oldest = bases[-1 - retain] if len(bases) > retain else 0  # what came before this base is named by no frame that is still to be read
+        delete(spark, *[at for n, _, at in _every_version(spark, path) if n < oldest])
     return read_checkpoint(spark, path, key, order)

