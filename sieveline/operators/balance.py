@@ -7,20 +7,69 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.keys import halves, unused
+from ..functions.keys import halves, row_lot, unused
 from ..functions.text import Key, md5_key, strip_key
 from ..sources.tables import settled
 from .dedup import key_hashes, keep_first, rank_first
 from .keystore import keyed
 
 
+#: Quantiles a label of the histogram that cut-offs are found in, and its accuracy.
+GRID, ACCURACY = 512, 20_000
+
+
+def cutoffs(rows: DataFrame, need: Mapping[str, int], label: str, order: str) -> DataFrame:
+    """(label, cut, spare) for each label with more than `need` rows: those before `cut` and `spare` of those at it are its first.
+
+    Two passes over two columns. The first counts and makes a histogram of the order by label, with map-side combining and of
+    a fixed size; it tells two bounds that the cut-off lies between. The second counts what lies below them and ranks only
+    what lies between, some 4 / GRID of a label. The histogram decides how much that is, not the result."""
+    spark = rows.sparkSession
+    narrow = rows.select(F.col(label).alias("l"), F.col(order).alias("o")).where(F.col("l").isin(*need))
+    grid = [k / GRID for k in range(GRID + 1)]
+    bounds = []
+    for r in narrow.groupBy("l").agg(F.count("*").alias("n"), F.percentile_approx("o", grid, ACCURACY).alias("q")).collect():  # a row a label
+        if r["n"] > need[r["l"]] > 0:
+            k = need[r["l"]] * GRID // r["n"]
+            bounds.append((r["l"], r["q"][k - 2] if k >= 2 else None, r["q"][k + 2] if k + 2 <= GRID else None, need[r["l"]]))
+    kind = rows.schema[order].dataType.simpleString()
+    if not bounds:
+        return spark.createDataFrame([], f"l string, cut {kind}, spare long").withColumnRenamed("l", label)
+    b = spark.createDataFrame(bounds, f"l string, lo {kind}, hi {kind}, need long")
+    met = narrow.join(F.broadcast(b), "l").where(F.col("hi").isNull() | (F.col("o") <= F.col("hi")))
+    # what is below is one row a label, what is between a row for each order
+    at = F.when(F.col("lo").isNotNull() & (F.col("o") < F.col("lo")), F.lit(None)).otherwise(F.col("o"))
+    per = met.groupBy("l", "need", at.alias("o")).agg(F.count("*").alias("n"))
+    ranked = per.withColumn("before", F.sum("n").over(W.partitionBy("l").orderBy(F.col("o").asc_nulls_first())) - F.col("n"))
+    found = ranked.where((F.col("before") < F.col("need")) & (F.col("before") + F.col("n") >= F.col("need")))
+    return found.select(F.col("l").alias(label), F.col("o").alias("cut"), (F.col("need") - F.col("before")).alias("spare"))
+
+
 def first_of_label(df: DataFrame, need: DataFrame, label: str, most: int, order: str = "_ord") -> DataFrame:
     """The first `need` rows of each label; `most` bounds all needs. need has one row a label, and labels are a list the
-    caller gives."""
-    n, rn = unused(df, "need", "rn")
-    ranked = rank_first(df, label, order, most, rn)
-    return ranked.join(F.broadcast(need.withColumnRenamed("need", n)), label).where(F.col(rn) <= F.col(n)).drop(rn, n)
+    caller gives. Of rows that tie at a cut-off some are taken, by a hash of the row; null orders come first.
+
+    An order of numbers or times without nulls is cut by `cutoffs`, and rows are filtered once where they are; df should be
+    a written table, as it is passed three times, twice for two columns only. Other orders are ranked in pieces."""
+    wanted = {r[0]: min(most, r[1]) for r in need.select(label, "need").collect()}  # a row a label
+    kind = df.schema[order].dataType
+    if not isinstance(kind, T.NumericType | T.TimestampType | T.DateType) or isinstance(kind, T.DecimalType) or not df.where(F.col(order).isNull() & F.col(label).isin(*wanted)).isEmpty():
+        n, rn = unused(df, "need", "rn")
+        ranked = rank_first(df, label, order, most, rn)
+        return ranked.join(F.broadcast(need.withColumnRenamed("need", n)), label).where(F.col(rn) <= F.col(n)).drop(rn, n)
+    found = {r[label]: (r["cut"], r["spare"]) for r in cutoffs(df, wanted, label, order).collect()}
+    if lost := [x for x, (cut, _) in found.items() if cut is None]:
+        raise ArithmeticError(f"a histogram missed its accuracy for {lost}")
+    cut, spare, rn = unused(df, "cut", "spare", "rn")
+    cfg = df.sparkSession.createDataFrame([(x, *found.get(x, (None, None))) for x, n in wanted.items() if n > 0], f"{label} string, {cut} {kind.simpleString()}, {spare} long")
+    rows = df.join(F.broadcast(cfg), label)
+    first = rows.where(F.col(cut).isNull() | (F.col(order) < F.col(cut))).drop(cut, spare)
+    # at a cut-off that several rows share, so many as are missing
+    ties = rows.where(F.col(order) == F.col(cut)).withColumn(cut, row_lot(df))
+    ties = rank_first(ties, label, cut, most, rn).where(F.col(rn) <= F.col(spare)).drop(cut, spare, rn)
+    return first.select(*df.columns).unionByName(ties.select(*df.columns))
 
 
 def balance(main: DataFrame, sources: Sequence[tuple[str, DataFrame]], labels: Sequence[str], target: int, text: str = "clean_text", label: str = "final_category", key: Key = strip_key) -> DataFrame:
@@ -40,7 +89,8 @@ def balance(main: DataFrame, sources: Sequence[tuple[str, DataFrame]], labels: S
         a, b = halves(k)
         fresh = df.where(F.col(label).isin(*labels) & (k != "")).withColumns({h1: a, h2: b})
         fresh = fresh.join(seen.toDF(h1, h2), [h1, h2], "left_anti").drop(h1, h2)
-        picked = settled(first_of_label(keep_first(fresh, k), need, label, target).withColumn("balance_source", F.lit(name)), "balance")
+        once = settled(keep_first(fresh, k), "once")
+        picked = settled(first_of_label(once, need, label, target).withColumn("balance_source", F.lit(name)), "balance")
         taken = picked if taken is None else taken.unionByName(picked, allowMissingColumns=True)
         seen = seen.union(key_hashes(picked, k))
         have = have.unionByName(picked.groupBy(label).agg(F.count("*").alias("n"))).groupBy(label).agg(F.sum("n").alias("n"))

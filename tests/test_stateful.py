@@ -228,3 +228,31 @@ def test_plans_move_no_text_where_keys_decide(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     above = [x for x in text.splitlines() if re.search(r"Aggregate|Join", x)]
     assert above and not any("clean_text" in x or "text#" in x for x in above)
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "timestamp", "string"])
+def test_first_of_label_is_exact(spark, kind):
+    r = random.Random(4)
+    rows = [(i, r.choice("aaab"), r.choice([5, r.randrange(50), r.randrange(10**6)])) for i in range(4000)] + [(5000, "c", 1), (5001, None, 2), (5002, "zz", 3)]
+    o = {"timestamp": F.timestamp_seconds("o"), "string": F.format_string("%09d", "o")}.get(kind, F.col("o").cast(kind))
+    df = spark.createDataFrame(rows, "i int, label string, o int").withColumn("_ord", o).withColumns({"need": F.lit(1), "cut": F.lit("x")}).repartition(4)
+    for needs in ({"a": 700, "b": 1, "c": 9, "absent": 3}, {"a": 2999, "b": 0, "c": 1}, {"a": 1, "b": 990}):
+        cfg = spark.createDataFrame([*needs.items()], "label string, need int")
+        got = balance.first_of_label(df, cfg, "label", 3000).collect()
+        for x, n in needs.items():
+            want = sorted(v for _, lab, v in rows if lab == x)[:n]
+            mine = [g for g in got if g["label"] == x]
+            assert sorted(g["o"] for g in mine) == want and len({g["i"] for g in mine}) == len(want)
+        assert {g["label"] for g in got} <= set(needs)
+
+
+def test_first_of_label_ranks_no_rows(spark):
+    """Rows meet a filter; a window sees only the cut-off's ties."""
+    df = spark.range(5000).select(F.col("id").alias("_ord"), F.concat(F.lit("L"), (F.col("id") % 3).cast("string")).alias("label"), F.lit("text").alias("t"))
+    cfg = spark.createDataFrame([("L0", 100), ("L1", 900)], "label string, need int")
+    got = balance.first_of_label(df, cfg, "label", 900)
+    assert got.count() == 1000 and sorted(r["_ord"] for r in got.where("label = 'L1'").collect()) == [3 * k + 1 for k in range(900)]
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    whole, ties = ("\n".join(x for x in lines[1:] if x.startswith(":") == first) for first in (True, False))
+    assert "Window" not in whole and "cut#" in whole and re.search(r"Join Inner, .*_ord#\d+L = cut#", ties)
+    assert balance.first_of_label(df.withColumn("_ord", F.when(F.col("_ord") != 3, F.col("_ord"))), cfg, "label", 900).where("_ord IS NULL").count() == 1
