@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import flags as fl
 from ..functions import text as tx
 from ..functions.keys import halves
-from ..operators import balance, dedup, merge, metrics, rules, state, vote
+from ..operators import balance, dedup, keywords, merge, metrics, rules, state, vote
 from ..sources import tables as io
 from ..streaming import jobs
 from ._base import FLAGS, LABELS, Registry, flagged, fresh, posts, seen, sql_key, sql_norm, table, verdicts
@@ -38,6 +38,18 @@ def e3_merge_schemas(spark: SparkSession, d: str) -> DataFrame:
     return _merged(spark, d)
 
 
+@query(_MERGE + "SELECT * FROM merged")
+def e3_merge_batches(spark: SparkSession, d: str) -> DataFrame:
+    """E3 as an upsert: a corpus bucketed by key takes in both schemas in three batches and is not shuffled by any."""
+    p = flagged(spark, d).withColumnsRenamed({"clean_text": "text", "label": "label_name"})
+    corpus = merge.KeyedCorpus(spark, io.work_path(spark, "corpus"), F3, ["language"], buckets=max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    train, new = p.where("_ord % 3 = 0"), p.where("_ord % 3 <> 0")
+    corpus.absorb(1, train.where("_ord % 2 = 0"), new.where("_ord % 5 = 1"))
+    corpus.absorb(2, None, new.where("_ord % 5 > 1"))
+    corpus.absorb(3, train.where("_ord % 2 = 1"), new.where("_ord % 5 = 0"))
+    return corpus.view()
+
+
 @query("SELECT source, count(*) AS n, min(_ord) AS first_seen FROM posts GROUP BY source")
 def f1_value_counts(spark: SparkSession, d: str) -> DataFrame:
     return merge.value_counts(posts(spark, d), "source")
@@ -376,6 +388,33 @@ def m1_scenario_rates(spark: SparkSession, d: str) -> DataFrame:
     return metrics.hit_rates(posts(spark, d), "label", "clean_text", {"s1": "thing", "s2": "eaux"})
 
 
+_WORDS = """
+WITH k AS (SELECT DISTINCT 'G' || CAST(item_id % 10 AS VARCHAR) AS g, lower(w) AS w FROM (SELECT item_id, unnest(string_split(text, ' ')) AS w FROM benchmark) WHERE length(w) >= 11),
+h AS (SELECT DISTINCT p._ord, p.label, k.g FROM posts p JOIN k ON contains(lower(p.clean_text), k.w))
+"""
+
+
+def _long_words(spark: SparkSession, d: str) -> DataFrame:
+    """Keywords in ten groups: the long words of the benchmark's items."""
+    w = table(spark, d, "benchmark").select(F.concat(F.lit("G"), (F.col("item_id") % 10).cast("string")).alias("group"), F.explode(F.split("text", " ")).alias("keyword"))
+    return w.where(F.length("keyword") >= 11)
+
+
+@query(_WORDS + "SELECT p._ord, coalesce(string_agg(h.g, ',' ORDER BY h.g), '') AS hits FROM posts p LEFT JOIN h ON h._ord = p._ord GROUP BY p._ord")
+def d7_many_keywords(spark: SparkSession, d: str) -> DataFrame:
+    """D7 for long lists: one pass over each text, whatever the number of keywords."""
+    hit = keywords.with_hits(posts(spark, d).select("_ord", "clean_text"), "clean_text", _long_words(spark, d))
+    return hit.select("_ord", F.array_join("hits", ",").alias("hits"))
+
+
+@query(_WORDS + """, c AS (SELECT label, count(*) AS total FROM posts GROUP BY label)
+SELECT h.label, h.g AS scenario, count(*) AS count, c.total, round(count(*) / c.total, 4) AS rate FROM h JOIN c ON c.label = h.label GROUP BY h.label, h.g, c.total
+""")
+def m1_keyword_rates(spark: SparkSession, d: str) -> DataFrame:
+    """M1 for long lists of keywords by scenario."""
+    return keywords.hit_rates(posts(spark, d), "label", "clean_text", _long_words(spark, d))
+
+
 @query("""
 SELECT label, count(*) AS n, round(avg(length(clean_text)), 4) AS mean_chars, round(avg(len(regexp_extract_all(clean_text, '#[\\p{L}\\p{N}_]+'))), 4) AS hashtag_per_text,
   round(avg(CASE WHEN regexp_matches(clean_text, '[\\x{1F300}-\\x{1FAFF}\\x{2600}-\\x{27BF}]') THEN 1 ELSE 0 END), 4) AS emoji_rate,
