@@ -32,10 +32,10 @@ def json_array(raw: Column) -> Column:
 
 def batch_items(df: DataFrame, raw: str = "raw_output") -> DataFrame:
     """df's columns with ordinal and item for every object of the array; other items are skipped but keep their ordinal."""
-    arr = F.expr("try_variant_get(__arr, '$', 'array<variant>')")
-    d = df.withColumn("__arr", json_array(F.col(raw)))
-    d = d.withColumn("__items", arr).drop("__arr")
-    out = d.select(*df.columns, F.posexplode("__items").alias("ordinal", "item"))
+    arr, items = unused(df, "arr", "items")
+    d = df.withColumn(arr, json_array(F.col(raw)))
+    d = d.withColumn(items, F.expr(f"try_variant_get({arr}, '$', 'array<variant>')")).drop(arr)
+    out = d.select(*[f"`{c}`" for c in df.columns], F.posexplode(items).alias("ordinal", "item"))
     return out.where(F.schema_of_variant("item").startswith("OBJECT"))
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import unused
 from ..functions.text import cjk_heavy, contains_any, has_artifact, hashtag_only, normalise, symbol_only, url_only
 
 
@@ -67,11 +68,13 @@ def decide(label: Column, text: Column, rules: Sequence[Rule], only: Column | No
 def apply_rules(df: DataFrame, decision: Column, label: str = "final_category", neutral: str = "safe") -> tuple[DataFrame, DataFrame]:
     """(clean, actions): rows that aren't dropped with their new label and final_violation moved along, and the audit trail
     of all rows, whose new label is empty where the row went."""
-    d = df.withColumn("__d", decision)
-    new = F.when(F.col("__d.action") == "relabel", F.col("__d.new_label")).otherwise(F.col(label))
-    clean = d.where("__d.action <> 'drop'").withColumn(label, new)
-    clean = clean.withColumn("final_violation", F.col(label) != neutral).drop("__d")
-    actions = d.select("_ord", "__d.action", "__d.reason", F.col(label).alias("old_label"), F.when(F.col("__d.action") == "drop", "").otherwise(new).alias("new_label"))
+    (v,) = unused(df, "verdict")
+    d = df.withColumn(v, decision)
+    action = F.col(f"{v}.action")
+    new = F.when(action == "relabel", F.col(f"{v}.new_label")).otherwise(F.col(label))
+    clean = d.where(action != "drop").withColumn(label, new)
+    clean = clean.withColumn("final_violation", F.col(label) != neutral).drop(v)
+    actions = d.select("_ord", action.alias("action"), F.col(f"{v}.reason").alias("reason"), F.col(label).alias("old_label"), F.when(action == "drop", "").otherwise(new).alias("new_label"))
     return clean, actions
 
 

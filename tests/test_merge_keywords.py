@@ -7,7 +7,7 @@ import time
 from pyspark.sql import functions as F
 
 from sieveline.functions import text as tx
-from sieveline.operators import keywords, merge
+from sieveline.operators import keywords, merge, parse, rules
 
 TRAIN = "lang string, text string, label_name string, source string, _ord long"
 NEW = "lang string, text string, f1 int, f2 int, _ord long"
@@ -169,3 +169,14 @@ def test_keywords_cost_the_text_and_not_the_list():
 def test_keywords_do_not_shuffle(spark):
     df = spark.range(10).select("id", F.lit("a b").alias("t"))
     assert "Exchange" not in plan(keywords.with_hits(df, "t", spark.createDataFrame([("g", "a")], "group string, keyword string")))
+
+
+def test_helper_columns_do_not_clash(spark):
+    """Tables that have the helpers' own names as columns."""
+    df = spark.createDataFrame([(1, "L1", "t", '[{"a": 1}, 2, {"a": 3}]', "x", "y")], "_ord int, final_category string, verdict string, raw_output string, arr string, Items string")
+    got = parse.batch_items(df).collect()
+    assert [(r["ordinal"], r["arr"], r["Items"]) for r in got] == [(0, "x", "y"), (2, "x", "y")]
+    clean, actions = rules.apply_rules(df, F.struct(F.lit("relabel").alias("action"), F.lit("r").alias("reason"), F.lit("safe").alias("new_label")))
+    row = clean.collect()[0]
+    assert (row["final_category"], row["final_violation"], row["verdict"]) == ("safe", False, "t")
+    assert [tuple(r) for r in actions.collect()] == [(1, "relabel", "r", "L1", "safe")]
