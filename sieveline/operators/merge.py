@@ -13,7 +13,7 @@ from ..functions.flags import any_flag
 from ..functions.text import Key, md5_key, normalise, py_strip
 from ..sources import tables as io
 
-_CORPUS = re.compile(r"^corpus-(\d{10})$")
+_CORPUS = re.compile(r"corpus-(\d{10})-(\d+)$")
 
 
 def key_states(train: DataFrame | None, new: DataFrame | None, flags: Sequence[str], group: Sequence[str] = (), key: Key = md5_key) -> DataFrame:
@@ -97,14 +97,20 @@ def merge_schemas(train: DataFrame, new: DataFrame, flags: Sequence[str], group:
     return merged_view(key_states(train, new, flags, group, key), flags, group)
 
 
+def _buckets(path: str) -> int:
+    """The number of buckets that a version's files lie in."""
+    return int(_CORPUS.search(path)[2])
+
+
 class KeyedCorpus:
     """A merged corpus on disk that grows by batches, as states by key in files bucketed by (h1, h2).
 
     A batch is brought to one row a key, dealt by the same buckets and joined; the corpus itself is read bucket by bucket and
     never shuffled. Versions are whole folders under root that count once their _SUCCESS mark is there; a batch's number is
     its version, so one that runs again after a death is absorbed once. The last `retain` versions before the newest stay
-    for readers. The catalogue's entry is made anew in each session. One writer at a time; take at least as many buckets as
-    spark.sql.shuffle.partitions, or Spark may prefer to deal both sides anew."""
+    for readers. The number of buckets is in a version's name; a changed number holds from the next batch on. The catalogue's
+    entry is made anew in each session. One writer at a time; take at least as many buckets as spark.sql.shuffle.partitions,
+    or Spark may prefer to deal both sides anew."""
 
     def __init__(self, spark: SparkSession, root: str, flags: Sequence[str], group: Sequence[str] = (), buckets: int = 256, retain: int = 1, key: Key = md5_key):
         self.spark, self.root, self.flags, self.group, self.buckets, self.retain, self.key = spark, root, list(flags), list(group), buckets, retain, key
@@ -124,7 +130,7 @@ class KeyedCorpus:
         name = self._table(version)
         if not self.spark.catalog.tableExists(name):
             cols = self.spark.read.parquet(path).schema.toDDL()
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS LOCATION '{path}'")
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {_buckets(path)} BUCKETS LOCATION '{path}'")
         return self.spark.table(name)
 
     def grown(self, train: DataFrame | None, new: DataFrame | None) -> DataFrame:
@@ -139,9 +145,9 @@ class KeyedCorpus:
             return
         self.spark.sql(f"DROP TABLE IF EXISTS {self._table(version)}")  # the entry of a run that died; its files are written over
         grown = self.grown(train, new)
-        if not done:
+        if not done or _buckets(done[-1][1]) != self.buckets:
             grown = grown.repartition(self.buckets, "h1", "h2")  # later ones lie so already; one file a bucket
-        path = f"{self.root}/corpus-{version:010d}"
+        path = f"{self.root}/corpus-{version:010d}-{self.buckets}"
         grown.write.mode("overwrite").format("parquet").option("path", path).bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(self._table(version))
         for n, at in done[: max(0, len(done) - self.retain)]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(n)}")

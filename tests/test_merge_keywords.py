@@ -92,13 +92,17 @@ def test_a_dead_batch_is_taken_in_again(spark, tmp_path):
     root = f"file://{tmp_path}/c"
     corpus = merge.KeyedCorpus(spark, root, ["f1", "f2"], ["lang"], buckets=4)
     corpus.absorb(1, t, None)
-    (tmp_path / "c" / "corpus-0000000002").mkdir()
-    (tmp_path / "c" / "corpus-0000000002" / "part-0.parquet").write_text("half")
+    half = tmp_path / "c" / "corpus-0000000002-4"
+    half.mkdir()
+    (half / "part-0.parquet").write_text("half")
     assert [v for v, _ in corpus.versions()] == [1]
     corpus.absorb(2, None, n)
     for name in [r.name for r in spark.catalog.listTables() if r.name.startswith("sieveline_")]:
         spark.sql(f"DROP TABLE {name}")  # as in a new session
-    assert as_dict(merge.KeyedCorpus(spark, root, ["f1", "f2"], ["lang"], buckets=4).view()) == plain_merge(train, new)
+    more = merge.KeyedCorpus(spark, root, ["f1", "f2"], ["lang"], buckets=6)  # reads four buckets and writes six
+    assert as_dict(more.view()) == plain_merge(train, new)
+    more.absorb(3, None, n.where("_ord < 0"))
+    assert more.versions()[-1][1].endswith("-6") and as_dict(more.view()) == plain_merge(train, new)
 
 
 def test_merge_shuffles_by_longs(spark, tmp_path):
