@@ -2,8 +2,10 @@
 
 A document is its set of word shingles. A run splits all sets on a sampled shared token: the shingle that is least under a
 random order of the run (so two sets fall together with chance J, and the token is in both). Buckets over `SPLIT` sets
-are split again on the next sampled token, down to `DEPTH` tokens; the sets at the end of one path form a bucket that is
-searched by brute force. Runs are repeated until a pair at the threshold is found with chance `recall`.
+are split again on the next sampled token, and after `DEPTH` tokens those over `LARGE` sets again, each on `TRIES` tokens side
+by side, so that a pair is hardly ever parted there: as long as that leaves fewer pairs to compare, or until the sampled
+tokens are spent. The sets at the end of one path form a bucket that is searched by brute force. Runs are repeated until a
+pair at the threshold is found with chance `recall`.
 
 Brute force has two steps, both inside a bucket: sketches (the least values of all runs) part the bucket into groups that
 can hold a pair, then whole sets are intersected, as a product of incidence matrices. A group that holds the same sets as
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,10 @@ from ._units import PIECE, Prefix, groups, mix, raw, signed, tidy, words
 
 WORDS, JACCARD, RECALL = 5, 0.8, 0.9995
 SPLIT, DEPTH, BLOCK, SEED = 48, 3, 512, 4242
+#: Buckets over LARGE sets are split on after DEPTH tokens, on TRIES tokens at each of DEEP levels.
+LARGE, TRIES, DEEP = 4096, 3, 2
+#: A bucket that holds more than this part of all paths is hot; so there are fewer of them than 1 / HOT at a level of one path a run.
+HOT = 1 / 4096
 #: Shingles of a set in a full block, on average; a bucket of longer sets is cut into more blocks.
 SET_SIZE = 8192
 
@@ -203,6 +210,52 @@ def _verified(jaccard: float):
     return tidy(f)
 
 
+def _sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("leaf").agg(F.count("*").alias("m"), F.ceil(F.sum("n") / SET_SIZE).cast("long").alias("weight"))
+
+
+def _met(rows: DataFrame, facts: DataFrame, most: float) -> DataFrame:
+    """rows with the facts of their bucket (`leaf`, its size m, others). What lies in hot buckets, over `most` rows, never meets in
+    one task: of these there are only so many as `HOT` allows, so their facts are broadcast."""
+    hot = F.broadcast(facts.where(F.col("m") > most))
+    return rows.join(hot, "leaf").unionByName(rows.join(hot.select("leaf"), "leaf", "left_anti").join(facts.where(F.col("m") <= most), "leaf"))
+
+
+def _deeper(large: DataFrame, nodes: DataFrame, runs: int, most: float, work: Work) -> tuple[list[DataFrame], int]:
+    """(ends (node, r, leaf, m, weight) of the paths in buckets over LARGE, number of runs these paths count as).
+
+    Each try of each run is a run of its own from there on, with a number of its own, so a set has one path a run at most. The
+    tokens are those that other runs sample: the orders that follow the run's own."""
+    ends, ids, slots = [], runs, runs * DEPTH
+    at = large.withColumn("at", F.col("r"))  # the run's place among those of this level
+    for level in range(DEEP):
+        if at.isEmpty():
+            break
+        at = work.keep(at.join(nodes.select("node", "mins"), "node"), f"large{level}")
+
+        def tried(rows: DataFrame, *more: str) -> DataFrame:
+            rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(TRIES - 1))))
+            slot = F.col("first") * DEPTH + DEPTH + level * TRIES + F.col("j")  # noqa: B023
+            token = F.col("mins")[F.pmod(slot, F.lit(slots))]
+            place = F.col("at") * TRIES + F.col("j")
+            return rows.select("node", "n", "first", (F.lit(ids) + place).alias("r"), place.alias("at"), F.xxhash64("leaf", "j", token).alias("leaf"), *more)  # noqa: B023
+
+        # a bucket is split where that leaves half the pairs at most
+        parts = tried(at.withColumns({"of": F.col("leaf"), "was": F.col("m")}), "of", "was").groupBy("leaf").agg(F.count("*").alias("k"), F.first("of").alias("of"), F.first("was").alias("was"))
+        gain = parts.groupBy(F.col("of").alias("leaf")).agg(F.first("was").alias("m"), (2 * F.sum(F.col("k").cast("double") * F.col("k")) <= F.pow(F.first("was").cast("double"), F.lit(2.0))).alias("gains"))
+        gain = work.keep(gain, f"gain{level}")
+        known = _met(at.drop("m"), gain, most)
+        ends.append(known.where("NOT gains").select("node", "r", "leaf", "m", "weight"))
+        tries = work.keep(tried(known.where("gains")), f"tries{level}")
+        sizes = work.keep(_sizes(tries).where("m > 1"), f"deep-sizes{level}")
+        met = work.keep(_met(tries, sizes, most), f"deep{level}")
+        ids += runs * TRIES ** (level + 1)
+        last = level == DEEP - 1
+        ends.append((met if last else met.where(F.col("m") <= LARGE)).select("node", "r", "leaf", "m", "weight"))
+        at = met.where(F.col("m") > LARGE)
+    return ends, ids
+
+
 def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: float = RECALL, work: Work | None = None) -> DataFrame:
     """k1, k2, doc_id, class_id, n_links, first for every row of docs; `first`: the key (k1, k2) that stands for the class."""
     spark = docs.sparkSession
@@ -218,21 +271,20 @@ def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: f
     steps = [F.col("mins")[F.col("r") * DEPTH + i].alias(f"m{i}") for i in range(DEPTH)]
     open_ = nodes.select("node", "mins", "n", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("r")).select("node", "r", "n", *steps)
     open_ = open_.withColumn("leaf", F.xxhash64("r", "m0"))
-    leaves, levels = None, []
+    amount = nodes.count()
+    most = amount * runs * HOT
+    ends, levels = [], []
     for i in range(DEPTH):
-        m = open_.groupBy("leaf").agg(F.count("*").alias("m"), F.ceil(F.sum("n") / SET_SIZE).cast("long").alias("weight")).where("m > 1")
-        met = open_.join(m, "leaf")
-        last = i == DEPTH - 1
-        met = work.keep(met, f"level{i}")
+        met = work.keep(_met(open_, work.keep(_sizes(open_).where("m > 1"), f"sizes{i}"), most), f"level{i}")
         levels.append(met)
-        ends = (met if last else met.where(F.col("m") <= SPLIT)).select("node", "r", "leaf", F.greatest("m", F.least(F.col("weight"), F.col("m") * BLOCK)).alias("m"))
-        leaves = ends if leaves is None else leaves.unionByName(ends)
-        if not last:
+        ends.append(met.where(F.col("m") <= (LARGE if i == DEPTH - 1 else SPLIT)).select("node", "r", "leaf", "m", "weight"))
+        if i < DEPTH - 1:
             open_ = met.where(F.col("m") > SPLIT).drop("m", "weight").withColumn("leaf", F.xxhash64("leaf", f"m{i + 1}"))
+    deep, paths = _deeper(met.where(F.col("m") > LARGE).select("node", "n", F.col("r").alias("first"), "r", "leaf", "m", "weight"), nodes, runs, most, work)
+    leaves = reduce(DataFrame.unionByName, ends + deep).withColumn("m", F.greatest("m", F.least(F.col("weight"), F.col("m") * BLOCK))).drop("weight")
 
     # groups that can hold a pair; of groups with the same sets, the one of the first run
     rows = blocked(leaves, "m", BLOCK, "node", "leaf").join(nodes.select("node", "mins"), "node").select("task", "side", "r", "node", "mins")
-    amount = nodes.count()
     parts = parts_for(spark, amount, 20_000)
     grouped = rows.repartition(parts, "task").sortWithinPartitions("task").mapInArrow(_parted(size, jaccard * 0.6), "task long, side int, r int, node long")
     grouped = work.keep(grouped, "groups")
@@ -242,7 +294,7 @@ def classes(docs: DataFrame, k: int = WORDS, jaccard: float = JACCARD, recall: f
 
     # whole sets of what is left
     path = leaves.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("r", "leaf"))).alias("at"))
-    own = [F.coalesce(F.col("at")[F.lit(i)], F.xxhash64("node", F.lit(i))) for i in range(runs)]
+    own = [F.coalesce(F.col("at")[F.lit(i)], F.xxhash64("node", F.lit(i))) for i in range(paths)]
     wanted = grouped.select("node").distinct().join(nodes.select("node", "rep.*", "mult"), "node").join(path, "node").select("node", "k1", "k2", "mult", F.array(*own).alias("leaves"))
     wanted = work.keep(wanted, "wanted")
     texts = d.select("k1", "k2", "text").join(wanted.select("k1", "k2", "node"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])

@@ -216,6 +216,46 @@ def test_op4_large_buckets_are_cut_into_blocks(spark, monkeypatch):
     assert {(r["class_id"], r["n_links"]) for r in got} == {(0, 119)}
 
 
+@pytest.mark.parametrize("shared, tries", [(40, 2), (90, 3)])
+def test_op4_large_buckets_are_split_on(spark, monkeypatch, shared, tries):
+    """Sets that share much but are no pairs, among them near copies, with every link told once. Where they share 40 of 120
+    shingles, large buckets are split on; where they share 90, that would leave more pairs, and they are searched as they are."""
+    monkeypatch.setattr(ngram_join, "TRIES", tries)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "SPLIT", 4)
+    monkeypatch.setattr(ngram_join, "LARGE", 8)
+    seen = []
+    deeper = ngram_join._deeper
+    monkeypatch.setattr(ngram_join, "_deeper", lambda *a: seen.append(deeper(*a)) or seen[-1])
+    r = random.Random(shared)
+    base = [f"w{i}" for i in range(shared + 4)]
+    rows = []
+    for k in range(180):
+        words = base + [f"k{k}w{i}" for i in range(120 - shared)]
+        rows.append((10 * k, " ".join(words)))
+        for c in range(k % 3):
+            other = words.copy()
+            other[r.randrange(len(base) + 6, len(words) - 6)] = f"changed{c}"
+            rows.append((10 * k + 1 + c, " ".join(other)))
+    sets = [shingle(t) for _, t in rows]
+    near, part = linked(sets, lambda a, b: 10 * len(a & b) >= 8 * len(a | b))
+    got = {x["doc_id"]: (x["class_id"], x["n_links"]) for x in ngram_join.report(spark.createDataFrame(rows, DOC).repartition(5)).collect()}
+    want = {i: (min(rows[j][0] for j in part[k]), len(near[k])) for k, (i, _) in enumerate(rows)}
+    assert got == want and max(n for _, n in want.values()) == 2
+    (ends, paths), runs = seen[0], ngram_join.n_runs(0.8, ngram_join.RECALL)
+    counts = [e.agg(F.count_if(F.col("r") < runs), F.count_if(F.col("r") >= runs)).first() for e in ends]
+    assert ends and paths > runs and (sum(c[1] for c in counts) > 0) == (shared == 40) and sum(c[0] for c in counts)
+    assert all(e.groupBy("node", "r").count().where("count > 1").isEmpty() for e in ends)
+
+
+def test_op4_hot_buckets_take_no_shuffle(spark):
+    rows = spark.createDataFrame([(i, 1 if i < 90 else i) for i in range(100)], "node long, leaf long")
+    facts = rows.groupBy("leaf").agg(F.count("*").alias("m")).where("m > 0")
+    for most in (0, 10, 90, 1000):
+        met = ngram_join._met(rows, facts, most)
+        assert sorted(map(tuple, met.select("node", "leaf", "m").collect())) == [(i, 1 if i < 90 else i, 90 if i < 90 else 1) for i in range(100)]
+
+
 def test_components_of_long_paths(spark):
     """Paths of 4,000 and 3 nodes with shuffled ids, a star and a loop: one label each, in few rounds."""
     r = random.Random(8)
