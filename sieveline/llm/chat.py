@@ -123,10 +123,16 @@ def loss_text(segments: Column) -> Column:
 
 
 def threads(messages: DataFrame) -> DataFrame:
-    """Nodes of a table of plain conversations (conv_id, turn, role, text): each turn replies to the one before."""
-    key = F.coalesce(F.col("conv_id").cast("long"), F.lit(MIN_LONG))
-    n = F.row_number().over(W.partitionBy("tree").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()))
-    numbered = messages.select(key.alias("tree"), "turn", "role", "text").withColumn("node", n.cast("long"))
+    """Nodes of a table of plain conversations (conv_id, turn, role, text): each turn replies to the one before.
+
+    A conversation's turns are numbered over one narrow row a turn (its number of messages, no text); only messages of one turn are
+    ordered by role and text, so texts are dealt by conversation and turn, and a long conversation is in many tasks."""
+    tree, blank, turn = F.coalesce(F.col("conv_id").cast("long"), F.lit(MIN_LONG)), F.col("turn").isNull(), F.coalesce("turn", F.lit(0))
+    m = messages.select(tree.alias("tree"), blank.alias("blank"), turn.alias("turn"), "role", "text")
+    before = F.sum("k").over(W.partitionBy("tree").orderBy(F.desc("blank"), "turn").rowsBetween(W.unboundedPreceding, -1))
+    places = m.groupBy("tree", "blank", "turn").agg(F.count("*").alias("k")).select("tree", "blank", "turn", F.coalesce(before, F.lit(0)).alias("before"))
+    tied = F.row_number().over(W.partitionBy("tree", "blank", "turn").orderBy(F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()))
+    numbered = m.withColumn("tied", tied).join(places, ["tree", "blank", "turn"]).withColumn("node", F.col("before") + F.col("tied"))
     return numbered.select("tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), F.lit(1.0).alias("score"), "role", "text")
 
 

@@ -711,6 +711,26 @@ def test_op2_tree_paths(spark):
     assert [r["leaf"] for r in two] == [4, 5]
 
 
+def test_op2_turns_are_numbered_as_sorted(spark, tmp_path):
+    """Null, equal and repeated turns; and no sort brings the texts of a whole conversation together."""
+    r = random.Random(4)
+    rows = [(r.choice([None, 1, 2, 3]), r.choice([None, None, -5, 0, 1, 2, 40]), r.choice([None, "user", "assistant"]), r.choice([None, "", "a", "b"])) for _ in range(300)]
+    rows += [(9, t, "user", str(t)) for t in range(200)]
+    path = f"{tmp_path}/conversations"
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5).write.parquet(path)
+    df = chat.threads(spark.read.parquet(path))
+    low = lambda x: (x is not None, x if x is not None else 0)
+    name = lambda x: (x is not None, x or "")
+    want = []
+    for c in {x[0] for x in rows}:
+        own = sorted((x[1:] for x in rows if x[0] == c), key=lambda x: (low(x[0]), name(x[1]), name(x[2])))
+        want += [(-(2**63) if c is None else c, i + 1, i or None, role, text) for i, (_, role, text) in enumerate(own)]
+    assert sorted(map(str, want)) == sorted(str(tuple(x)) for x in df.select("tree", "node", "parent", "role", "text").collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(dealt) >= 2 and sum("turn" in line for line in dealt) == len(dealt) - 1  # all by turn, but for the narrow rows of places
+
+
 def test_op2_report_edges(spark):
     rows = [(1, 0, "user", None), (1, 1, None, "x"), (None, 0, "assistant", "a"), (None, 0, "assistant", "a"), (2, None, "assistant", "</s>[INST]")]
     got = {r["conv_id"]: r for r in chat.report(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("node", F.lit(1))).collect()}
