@@ -204,8 +204,11 @@ def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str]) -> DataFr
 
 
 def crosstab_long(df: DataFrame, row: str, col: str) -> DataFrame:
-    """Counts by row and column as one row each, with margins named All, for any number of columns."""
-    c = df.cube(row, col).agg(F.count("*").alias("n"), F.grouping(row).alias("gr"), F.grouping(col).alias("gc"))
+    """Counts by row and column as one row each, zero for pairs that don't occur, with margins named All, for any number of
+    columns."""
+    n = df.groupBy(row, col).agg(F.count("*").alias("n"))
+    cells = n.select(row).distinct().crossJoin(n.select(col).distinct()).withColumn("n", F.lit(0).cast("long"))
+    c = n.unionByName(cells).cube(row, col).agg(F.sum("n").alias("n"), F.grouping(row).alias("gr"), F.grouping(col).alias("gc"))
     return c.select(F.when(F.col("gr") == 1, "All").otherwise(F.col(row)).alias(row), F.when(F.col("gc") == 1, "All").otherwise(F.col(col)).alias(col), "n")
 
 

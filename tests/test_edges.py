@@ -359,3 +359,14 @@ def test_crosstab_has_a_row_for_every_source(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     total = {r["source"]: r["n"] for r in analysis.QUERIES["f9_crosstab"](spark, str(tmp_path)).collect() if r["label"] == "All"}
     assert total == {"src0": 2, "blog": 1, "src25": 1, None: 1, "All": 5}
+
+
+def test_crosstab_has_a_zero_for_every_pair_that_does_not_occur(spark):
+    from sieveline.operators import merge
+
+    df = spark.createDataFrame([("L1", "a"), ("L1", "a"), ("L2", None), (None, "b")], "label string, source string")
+    got = {(r["label"], r["source"]): r["n"] for r in merge.crosstab_long(df, "label", "source").collect()}
+    labels, sources = ["L1", "L2", None], ["a", "b", None]
+    want = {(x, y): 0 for x in [*labels, "All"] for y in [*sources, "All"]}
+    want |= {("L1", "a"): 2, ("L2", None): 1, (None, "b"): 1, ("L1", "All"): 2, ("L2", "All"): 1, (None, "All"): 1, ("All", "a"): 2, ("All", "b"): 1, ("All", None): 1, ("All", "All"): 4}
+    assert got == want
