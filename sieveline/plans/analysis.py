@@ -494,13 +494,13 @@ def n1_resume(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT event_id % 300 AS content_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY event_id % 300")
 def n2_stream_checkpoint(spark: SparkSession, d: str) -> DataFrame:
-    """A stream of log files upserted into a checkpoint, one batch after another."""
+    """A stream upserted into a checkpoint, run after each of two appends to its log: one batch after another."""
     root = io.work_path(spark, "stream")
     e = table(spark, d, "events").select((F.col("event_id") % 300).alias("content_id"), "event_id", "event_type")
     for part in range(2):
-        io.append_log(e.where(F.col("event_id") % 2 == part).coalesce(1), f"{root}/log")
-    log = jobs.read_log(spark, f"{root}/log", "content_id long, event_id long, event_type string", 1)
-    jobs.upsert_stream(log, f"{root}/state", f"{root}/checkpoint", "content_id", "event_id").awaitTermination()
+        io.append_log(e.where(F.col("event_id") % 2 == part), f"{root}/log")
+        log = jobs.read_log(spark, f"{root}/log", "content_id long, event_id long, event_type string", None)
+        jobs.upsert_stream(log, f"{root}/state", f"{root}/checkpoint", "content_id", "event_id").awaitTermination()
     return io.read_checkpoint(spark, f"{root}/state", "content_id", "event_id")
 
 
@@ -560,15 +560,15 @@ def n9_rebuild_final(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT min(_ord) AS _ord FROM posts WHERE label IN ('L1', 'L2', 'L3') AND length({sql_norm('clean_text')}) BETWEEN 40 AND 2000 GROUP BY key")
 def n9_rebuild_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The same from a stream of log files in order, a second a row."""
+    """The same from a stream, a second a row, that runs after each of three appends to its log, which come in order."""
     root = io.work_path(spark, "rebuild")
     p = posts(spark, d).select("_ord", "clean_text", "label", F.timestamp_seconds("_ord").alias("at"))
     top = (p.agg(F.max("_ord")).first()[0] or 0) + 1
-    for part in range(3):
-        io.append_log(p.where((F.col("_ord") * 3 >= part * top) & (F.col("_ord") * 3 < (part + 1) * top)).coalesce(1), f"{root}/log")
-    log = jobs.read_log(spark, f"{root}/log", "_ord long, clean_text string, label string, at timestamp", 1)
     valid = lambda r: r.where(F.col("label").isin(*LABELS[:3]) & rules.rejection(F.col("clean_text"), F.col("label"), F.col("label"), 40, 2000).isNull())
-    jobs.rebuild_stream(log, valid, "clean_text", "_ord", "at", float(top), root).awaitTermination()
+    for part in range(3):
+        io.append_log(p.where((F.col("_ord") * 3 >= part * top) & (F.col("_ord") * 3 < (part + 1) * top)), f"{root}/log")
+        log = jobs.read_log(spark, f"{root}/log", "_ord long, clean_text string, label string, at timestamp", None)
+        jobs.rebuild_stream(log, valid, "clean_text", "_ord", "at", float(top), root).awaitTermination()
     rows = jobs.sunk(spark, root)
     return (rows if rows is not None else p.limit(0)).select("_ord")
 

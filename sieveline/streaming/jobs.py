@@ -28,8 +28,11 @@ def upsert_stream(log: DataFrame, path: str, checkpoint: str, key: str, order: s
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
-def read_log(spark: SparkSession, path: str, schema: str, files_each: int = 100) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_each).parquet(path)
+def read_log(spark: SparkSession, path: str, schema: str, files_each: int | None = 100) -> DataFrame:
+    """With files_each=None a batch is all that has come since the last one: a stream that runs after each append, however many
+    tasks wrote it, has one batch an append, so that batches come in the order of the appends."""
+    log = spark.readStream.schema(schema)
+    return (log if files_each is None else log.option("maxFilesPerTrigger", files_each)).parquet(path)
 
 
 def distinct_stream(log: DataFrame, text: str, ts: str, delay: str, key: Key = lower_key) -> DataFrame:

@@ -256,3 +256,31 @@ def test_first_of_label_ranks_no_rows(spark):
     whole, ties = ("\n".join(x for x in lines[1:] if x.startswith(":") == first) for first in (True, False))
     assert "Window" not in whole and "cut#" in whole and re.search(r"Join Inner, .*_ord#\d+L = cut#", ties)
     assert balance.first_of_label(df.withColumn("_ord", F.when(F.col("_ord") != 3, F.col("_ord"))), cfg, "label", 900).where("_ord IS NULL").count() == 1
+
+
+def test_no_single_task_writes_the_log_of_a_stream(spark, tmp_path, monkeypatch):
+    """Tables of four files each, whose order is not that of the ids; the streams give what the batch forms give."""
+    from sieveline.plans import analysis, core
+
+    text = F.concat(F.lit("a text of more than forty signs, by number: "), (F.col("id") % 30).cast("string"))
+    docs = spark.range(900).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    value = F.when(F.expr("id BETWEEN 100 AND 107 OR id BETWEEN 445 AND 455"), 1.0).otherwise(50.0)  # the long run goes over a third append's start
+    events = spark.range(600).select(F.col("id").alias("event_id"), F.col("id").cast("string").alias("event_type"), value.alias("value"))
+    for name, df in (("documents", docs), ("events", events)):
+        df.repartition(4).write.parquet(f"file://{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(io, "append_log", lambda df, path, f=io.append_log: (tasks.append(df.rdd.getNumPartitions()), f(df, path)))
+    old = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", 16 << 10)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 16 << 10)  # a file a task
+    try:
+        got, q = {}, analysis.QUERIES | core.QUERIES
+        for name, parts in (("n9_rebuild_stream", 3), ("g6_breaker_stream", 3), ("n2_stream_checkpoint", 2)):
+            tasks = []
+            got[name] = sorted(tuple(r) for r in q[name](spark, f"file://{tmp_path}").collect())
+            assert len(tasks) >= parts and min(tasks) == 4
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old[0])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[1])
+    assert got["n9_rebuild_stream"] == sorted(tuple(r) for r in q["n9_rebuild_final"](spark, f"file://{tmp_path}").collect()) != []
+    assert [i for i, _ in got["g6_breaker_stream"]] == [*range(445)]
+    assert got["n2_stream_checkpoint"] == [(i, 300 + i, str(300 + i)) for i in range(300)]
