@@ -48,6 +48,8 @@ from ._units import in_slices, tidy
 CHUNK, STRIPES, GROUP = 4 << 20, 128, 512
 #: A worker that remembers more units than this at the end of a chunk starts anew.
 REMEMBER = 400_000
+#: Units that are read as one text.
+TOGETHER = 256
 
 BLANK, CUT, CLOSE = "▁", re.compile(r"(?<=\S)(?= )"), re.compile(r"\s ")
 
@@ -113,6 +115,10 @@ class Aligner:
         self.in_units = not any(BLANK in p.lstrip(BLANK) for p in pieces)
         self.head = len(self.b.encode("a"))
         self.sizes = (max(self.a_bytes) + 1, len(pieces))
+        self.a_size, self.b_size = np.zeros(self.sizes[0], np.int64), np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_size[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        # an id as text with what may follow it: A's , or |, B's , or ; or the unit's end
+        self.said = [b"%d%s" % (i, x) for i in range(self.sizes[0]) for x in (b",", b"|")] + [b"%d%s" % (i, x) for i in range(self.sizes[1]) for x in (b",", b";", b"\n")]
 
         self.forget()
 
@@ -129,6 +135,50 @@ class Aligner:
         return text.split(" ") if not CLOSE.search(" " + text) else [u[1:] for u in CUT.split(" " + text)]
 
     def _learn(self, units: list[str]) -> None:
+        """Units that may follow each other are read TOGETHER at a time; where that doesn't give their bytes back, one by one."""
+        single = units
+        if self.in_units:
+            single, plain = [], []
+            for u in units:
+                (single if not u or u[-1].isspace() else plain).append(u)
+            for lo in range(0, len(plain), TOGETHER):
+                some = plain[lo : lo + TOGETHER]
+                if not self._together(some):
+                    single.extend(some)
+        if single:
+            self._one_by_one(single)
+
+    def _together(self, units: list[str]) -> bool:
+        """Ends of tokens are compared as arrays: a link for each stretch between neighbouring ends, a group for each common end."""
+        text = " " + " ".join(units)
+        x, y = self.a.encode(text, add_special_tokens=False).ids, self.b.encode("a" + text)[self.head :]
+        own = text.encode()
+        if b"".join(map(self.a_bytes.__getitem__, x)) != own or b"".join(map(self.b_bytes.__getitem__, y)) != own:
+            return False
+        a, b = np.array(x, np.int64), np.array(y, np.int64)
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends, in_a, in_b = np.zeros((3, len(own) + 1), bool)
+        ends[np.cumsum([len(u.encode()) + 1 for u in units])] = in_a[a_end] = in_b[b_end] = True
+        both = in_a & in_b
+        if not self.a_size[a].all() or not self.b_size[b].all() or (ends & ~both).any():
+            return False
+        unit, cut, group = np.flatnonzero(ends), np.flatnonzero(in_a | in_b), np.flatnonzero(both)
+        per = [np.diff(np.searchsorted(at, unit, "right"), prepend=0) for at in (a_end, b_end, group, cut)]
+        pairs = b[np.searchsorted(b_end, cut)] << 32 | a[np.searchsorted(a_end, cut)]
+        # a group's A ids, then its B ids
+        a_group, b_group = np.searchsorted(group, a_end), np.searchsorted(group, b_end)
+        said = np.empty(len(a) + len(b), np.int64)
+        said[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = 2 * a + both[a_end]
+        said[np.arange(len(b)) + np.searchsorted(a_group, b_group, "right")] = 2 * self.sizes[0] + 3 * b + both[b_end] + ends[b_end]
+        k = len(self.text)
+        self.index.update(zip(units, range(k, k + len(units)), strict=True))
+        self.text.extend(b"".join(map(self.said.__getitem__, said.tolist())).split(b"\n")[:-1])
+        self.first.frombytes((self.first[-1] + np.cumsum(per[3])).astype(np.int64).tobytes())
+        self.pairs.frombytes(pairs.tobytes())
+        self.figures.frombytes(np.stack(per, 1).astype(np.int32).tobytes())
+        return True
+
+    def _one_by_one(self, units: list[str]) -> None:
         """B reads a unit after an `a`, so that it stands as in the text."""
         a = [x.ids for x in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
         b = [x[self.head :] for x in self.b.encode(["a " + u for u in units], num_threads=1)] if self.in_units else self.b.encode(units, num_threads=1)

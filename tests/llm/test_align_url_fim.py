@@ -125,6 +125,28 @@ def test_op11_many_units(spark, monkeypatch):
     assert sorted(got) == sorted(w[:5] for w in want)
 
 
+def test_op11_units_are_read_together():
+    """As one by one; most plain words are not read alone, and a unit that is not given back costs only those beside it."""
+    r = random.Random(7)
+    signs = ["a", "b", "e", "n", "ing", "é", "ñ", "日", "\U0001f600", "'s", "-", "12", "\t", "X"]
+    plain = list({"".join(r.choices(signs, k=r.randint(1, 9))) + "z" for _ in range(900)})
+    odd = ["", "a ", "x\n", "▁x", "x　y", "ﬁ", "\x00"]
+    alone, work, one = [], align.Aligner(A, B), align.Aligner(A, B)
+    by_one = work._one_by_one
+    work._one_by_one = lambda units: (alone.extend(units), by_one(units))
+    work._learn(plain)
+    assert len(alone) < len(plain) / 2
+    work._learn(odd)
+    one._one_by_one(plain + odd)
+    assert set(work.index) == set(one.index) == {*plain, *odd}
+
+    def told(w, u):
+        k = w.index[u]
+        return w.text[k], [*w.pairs[w.first[k] : w.first[k + 1]]], [*w.figures[4 * k : 4 * k + 4]], k in w.bad
+
+    assert all(told(work, u) == told(one, u) for u in one.index)
+
+
 def test_op11_empty(spark):
     assert align.report(spark.createDataFrame([], DOC), A, B).count() == 0
     assert align.pair_counts(spark.createDataFrame([(1, None)], DOC), A, B).count() == 0
